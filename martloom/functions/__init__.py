@@ -6,10 +6,11 @@ from martloom.functions.pii import (
     last_characters,
     match_method,
 )
-from martloom.functions.text import WHITESPACE, is_blank, standardize_name, strip
+from martloom.functions.text import WHITESPACE, WHITESPACE_CLASS, is_blank, standardize_name, strip
 
 __all__ = [
     "WHITESPACE",
+    "WHITESPACE_CLASS",
     "business_key",
     "hash_identifier",
     "is_blank",

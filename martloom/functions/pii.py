@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from martloom.functions.text import WHITESPACE, is_blank, strip
+from martloom.functions.text import WHITESPACE_CLASS, is_blank, strip
 
 MATCHED_BY_ID = "SSN"
 MATCHED_BY_NAME = "NAME_DOB"
@@ -20,9 +20,9 @@ def hash_identifier(c: Column, salt: str | None = None) -> Column:
     return F.when(value != "", F.sha2(salted, 256))
 
 
-def match_method(c: Column, chars: str = WHITESPACE) -> Column:
+def match_method(c: Column, blank: str = WHITESPACE_CLASS) -> Column:
     """How the person will be identified: by the identifier, or by name."""
-    return F.when(is_blank(c, chars), F.lit(MATCHED_BY_NAME)).otherwise(F.lit(MATCHED_BY_ID))
+    return F.when(is_blank(c, blank), F.lit(MATCHED_BY_NAME)).otherwise(F.lit(MATCHED_BY_ID))
 
 
 def last_characters(c: Column, n: int = 4, keep_short: bool = True) -> Column:

@@ -5,25 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every code point Unicode calls white space. Spark's trim() takes
-# spaces only and Java's \s is ASCII only, so both are given this set by name.
+# Every code point Unicode calls white space, as text and as the inside of a
+# regular expression's character class. Spark's trim() takes spaces only and Java's \s is
+# ASCII only, so both are told what to look for.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0 "
     "           "
     "    　"
 )
+WHITESPACE_CLASS = (
+    r"\t-\r\x1c-\x20\x85\xa0  -     　"
+)
+
 
+def strip(c: Column) -> Column:
+    """Remove white space from both ends; NULL stays NULL."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
-def strip(c: Column, chars: str = WHITESPACE) -> Column:
-    """Remove `chars` from both ends; NULL stays NULL."""
-    return F.btrim(c, F.lit(chars))
 
+def is_blank(c: Column, blank: str = WHITESPACE_CLASS) -> Column:
+    """True for NULL, empty and all-blank values; never NULL.
 
-def is_blank(c: Column, chars: str = WHITESPACE) -> Column:
-    """True for NULL, empty and all-`chars` values; never NULL."""
-    return c.isNull() | (strip(c, chars) == "")
+    The search ends at the first character that is not blank, and names the column only
+    once: a filter evaluates each mention of a computed column again.
+    """
+    return ~F.coalesce(c.rlike(f"[^{blank}]"), F.lit(False))
 
 
 def standardize_name(c: Column) -> Column:
     """Upper-case, keep A-Z and white space only, strip. Other letters are dropped."""
-    return strip(F.regexp_replace(F.upper(c), f"[^A-Z{WHITESPACE}]", ""))
+    return strip(F.regexp_replace(F.upper(c), f"[^A-Z{WHITESPACE_CLASS}]+", ""))

@@ -18,44 +18,48 @@ REASON = "rejection_reason"
 
 
 def not_null_check(name: str, contract: Contract) -> Column:
-    return F.when(is_blank(F.col(name), contract.blank_chars), F.lit(f"null_or_empty: {name}"))
+    return F.when(is_blank(F.col(name), contract.blank), F.lit(f"null_or_empty: {name}"))
 
 
-def expected_value_check(name: str, expected: str) -> Column:
+def expected_value_check(name: str, expected: Column) -> Column:
     # NULL is no mismatch: the comparison is NULL, so no reason is given.
     return F.when(
-        F.col(name) != F.lit(expected), F.lit(f"{name} mismatch: expected {expected}")
+        F.col(name) != expected, F.concat(F.lit(f"{name} mismatch: expected "), expected)
     )
 
 
 def date_shape_check(name: str, contract: Contract) -> Column:
     """Shape only: 2026-99-99 passes."""
     column = next(c for c in contract.columns if c.name == name)
-    c = F.col(name)
-    return F.when(
-        ~is_blank(c, contract.blank_chars) & ~c.rlike(column.date_shape),
-        F.lit(f"invalid_date_format: {name}"),
-    )
+    # Blank or well shaped; a NULL is neither matched nor a fault.
+    passes = rf"\A[{contract.blank}]*\z|^{column.date_shape}$"
+    return F.when(~F.col(name).rlike(passes), F.lit(f"invalid_date_format: {name}"))
 
 
 def cast_check(name: str, contract: Contract) -> Column:
     """A value that is there but cannot be read as the contract's type."""
     column = next(c for c in contract.columns if c.name == name)
     return F.when(
-        ~is_blank(F.col(name), contract.blank_chars) & parse_value(column).isNull(),
+        ~is_blank(F.col(name), contract.blank) & parse_value(column).isNull(),
         F.lit(f"invalid_{column.type}: {name}"),
     )
 
 
-def row_checks(contract: Contract, *, strict: bool = False) -> list[Column]:
+def row_checks(
+    contract: Contract, *, strict: bool = False, expected_org: Column | None = None
+) -> list[Column]:
     """The contract as checks, in order of precedence; each is a reason or NULL.
 
     Not-null checks come first, then the organisation, then the shapes of dates.
     `strict` adds impossible dates and unreadable numbers, which would else load as NULL.
+    `expected_org` replaces the contract's organisation where files of several are checked
+    in one pass.
     """
+    if expected_org is None:
+        expected_org = F.lit(contract.org)
     checks = [not_null_check(name, contract) for name in contract.not_null]
     if contract.org_field in contract.names:
-        checks.append(expected_value_check(contract.org_field, contract.org))
+        checks.append(expected_value_check(contract.org_field, expected_org))
     checks += [date_shape_check(c.name, contract) for c in contract.of_type("date")]
     if strict:
         typed = contract.of_type("date") + contract.of_type("decimal")
@@ -77,9 +81,11 @@ def standardize(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def validate(df: DataFrame, contract: Contract, *, strict: bool = False) -> DataFrame:
+def validate(
+    df: DataFrame, contract: Contract, *, strict: bool = False, expected_org: Column | None = None
+) -> DataFrame:
     """Contract rows, names standardised, plus the first reason to reject each, or NULL."""
-    checks = row_checks(contract, strict=strict)
+    checks = row_checks(contract, strict=strict, expected_org=expected_org)
     if strict and MALFORMED in df.columns:
         checks.insert(0, F.when(F.col(MALFORMED), F.lit("malformed_row")))
     return standardize(df, contract).withColumn(REASON, first_reason(checks)).drop(MALFORMED)
@@ -93,7 +99,7 @@ def mask_identifier(df: DataFrame, contract: Contract, salt: str | None = None)
     return df.withColumns(
         {
             "ssn_hash": hash_identifier(raw, salt),
-            "match_method": match_method(raw, contract.blank_chars),
+            "match_method": match_method(raw, contract.blank),
         }
     ).drop(contract.id_field)
 

@@ -26,6 +26,7 @@ from martloom.operators.append import new_facts
 from martloom.operators.dedup import latest_per_key
 from martloom.operators.merge import Scd2, scd1_upsert, scd2_step
 from martloom.operators.schema import conform
+from martloom.operators.sizing import fits_broadcast
 from martloom.plans.policy_mart import (
     ADDRESS,
     MART,
@@ -41,6 +42,7 @@ from martloom.sources.tables import (
     as_nullable,
     batch_slice,
     create_table,
+    empty_rows,
     replace_partition,
     seed_table,
 )
@@ -84,9 +86,17 @@ def premium_source(premiums: DataFrame, batch_date: date, load_date: date) -> Da
 # --- the transforms
 
 
+def _measured(options: dict, staged: DataFrame) -> dict:
+    """The staged rows bound the merge's source from above, and can be measured without a shuffle."""
+    if options.get("broadcast_source") is None:
+        options = options | {"broadcast_source": fits_broadcast(staged)}
+    return options
+
+
 def merge_policyholders(
     current: DataFrame, basic: DataFrame, batch_date: date, load_date: date, **options
 ) -> DataFrame:
+    options = _measured(options, basic)
     source = policyholder_source(basic)
     return scd2_step(current, source, POLICYHOLDER, batch_date, load_date, **options)
 
@@ -94,6 +104,7 @@ def merge_policyholders(
 def merge_policies(
     current: DataFrame, basic: DataFrame, batch_date: date, load_date: date, **options
 ) -> DataFrame:
+    options = _measured(options, basic)
     return scd2_step(current, policy_source(basic), POLICY, batch_date, load_date, **options)
 
 
@@ -101,12 +112,13 @@ def merge_addresses(
     target: DataFrame, address: DataFrame, load_date: date, **options
 ) -> DataFrame:
     """The source is not cut to one row per key: two addresses of one type are an error."""
-    return scd1_upsert(target, address, ADDRESS, load_date, **options)
+    return scd1_upsert(target, address, ADDRESS, load_date, **_measured(options, address))
 
 
 def merge_payment_methods(
     target: DataFrame, bankinfo: DataFrame, load_date: date, **options
 ) -> DataFrame:
+    options = _measured(options, bankinfo)
     return scd1_upsert(target, bankinfo, PAYMENT_METHOD, load_date, order=(), **options)
 
 
@@ -169,7 +181,7 @@ def _state_before(spark: SparkSession, name: str, root: str, batch_date: date) -
     table = MART[name]
     last = latest_batch(spark, table, root, before=batch_date)
     if last is None:
-        return spark.createDataFrame([], as_nullable(table.schema))
+        return empty_rows(spark, table.schema)
     rows = batch_slice(_stored(spark, table, root), last, BATCH)
     if name in SCD2_TABLES:
         rows = rows.where(F.col("is_current"))

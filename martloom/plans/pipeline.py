@@ -14,7 +14,7 @@ from martloom.plans.staging import LoadCounts, load_file
 from martloom.sources.contract import Contract
 
 # Independent jobs sent to Spark at once, so that small ones do not leave executors idle.
-CONCURRENT_JOBS = 4
+CONCURRENT_JOBS = 8
 
 
 def _each(jobs: Iterable[Callable[[], object]]) -> list:

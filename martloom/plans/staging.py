@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,7 +21,7 @@ from martloom.operators.validate import (
 from martloom.plans.policy_mart import MAPPINGS, MASKS, STAGING
 from martloom.sources.contract import Contract
 from martloom.sources.delimited import scan_delimited
-from martloom.sources.tables import Table, quarantine, replace_partition
+from martloom.sources.tables import Table, empty_rows, quarantine, replace_partition
 
 
 # Rows that failed a check, as text. Their columns depend on the file type, which is a folder.
@@ -44,9 +44,11 @@ def check_rows(
     *,
     strict: bool = False,
     salt: str | None = None,
+    expected_org: Column | None = None,
 ) -> DataFrame:
     """Landing rows judged, masked and stamped, still as text. One narrow projection."""
-    judged = mask_identifier(validate(rows, contract, strict=strict), contract, salt)
+    judged = validate(rows, contract, strict=strict, expected_org=expected_org)
+    judged = mask_identifier(judged, contract, salt)
     if contract.file_type in MASKS:
         judged = map_columns(judged, MASKS[contract.file_type])
     return add_audit(judged, batch_date, load_timestamp)
@@ -62,12 +64,10 @@ def stage(
     contract: Contract,
     batch_date: date,
     load_timestamp: datetime,
-    *,
-    strict: bool = False,
-    salt: str | None = None,
+    **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """(staging rows, rejects) of one landing file."""
-    checked = check_rows(rows, contract, batch_date, load_timestamp, strict=strict, salt=salt)
+    """(staging rows, rejects) of landing rows; options as for `check_rows`."""
+    checked = check_rows(rows, contract, batch_date, load_timestamp, **options)
     valid, rejected = split(checked)
     table = STAGING[contract.file_type]
     return conform(staging_rows(valid, contract), table.schema), rejected
@@ -105,14 +105,14 @@ def load_file(
     diff = schema_diff(staged.schema, table.schema)
     if diff.missing:
         # These cannot become rows of the table: load nothing, but keep them whole.
-        loaded = spark.createDataFrame([], table.schema)
+        loaded = empty_rows(spark, table.schema)
         reason = f"schema mismatch: {diff}"
         kept = quarantine(
             staged, contract.org, batch_date, contract.file_type, reason, load_timestamp
         )
     else:
         loaded = conform(staged, table.schema)
-        kept = spark.createDataFrame([], held.schema)
+        kept = empty_rows(spark, held.schema)
     replace_partition(loaded, table, root, owned)
     replace_partition(kept, held, root, owned_rejects)
 

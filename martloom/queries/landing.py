@@ -29,14 +29,14 @@ class Landing:
     file_org: str
     batches: tuple[str, str]
 
-    def rows(self, spark: SparkSession, sf_dir: str, org: str, batch: date) -> DataFrame:
-        """The rows of one file."""
-        which = self.batches[BATCHES.index(batch)]
-        rows = read(spark, sf_dir, self.table).where(f"({which}) AND {self.file_org} = '{org}'")
-        return rows.selectExpr(*[f"{e} AS {n}" for n, e in self.columns.items()])
+    def rows(self, spark: SparkSession, sf_dir: str, batch: date) -> DataFrame:
+        """All files of a batch."""
+        rows = read(spark, sf_dir, self.table).where(self.batches[BATCHES.index(batch)])
+        columns = [f"{e} AS {n}" for n, e in self.columns.items()]
+        return rows.selectExpr(*columns, f"{self.file_org} AS file_org")
 
     def sql(self, batch: date) -> str:
-        """All files of a batch."""
+        """The same as SQL."""
         which = self.batches[BATCHES.index(batch)]
         columns = ", ".join(f"{e} AS {n}" for n, e in self.columns.items())
         return f"SELECT {columns}, {self.file_org} AS file_org FROM {self.table} WHERE {which}"

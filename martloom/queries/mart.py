@@ -2,29 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.operators.merge import scd2_merge
 from martloom.operators.quality import fact_dim_join
 from martloom.operators.validate import REASON
 from martloom.plans.mart import (
     merge_addresses,
     merge_payment_methods,
+    merge_policies,
+    merge_policyholders,
     new_premiums,
-    policy_source,
-    policyholder_source,
     read_mart,
 )
 from martloom.plans.pipeline import run_batch
-from martloom.plans.policy_mart import CONTRACTS, MART, POLICY, POLICYHOLDER
+from martloom.plans.policy_mart import CONTRACTS, MART
 from martloom.plans.staging import stage
 from martloom.queries.landing import BATCHES, LANDINGS, LOADED, ORGS
 from martloom.queries.registry import query
-from martloom.sources.scratch import scratch_dir
-from martloom.sources.tables import as_nullable
+from martloom.sources.scratch import scratch_dir, stored
+from martloom.sources.tables import empty_rows
 
 # --- the same mart as SQL
 
@@ -170,67 +170,59 @@ PREMIUMS_SQL = f"""
 
 
 def staged(spark: SparkSession, sf_dir: str, file_type: str, batch: date) -> tuple[DataFrame, DataFrame]:
-    """(staging rows, rejects) of all organisations' files."""
-    parts = [
-        stage(
-            LANDINGS[file_type].rows(spark, sf_dir, org, batch),
-            CONTRACTS[file_type].for_org(org),
-            batch,
-            LOADED[batch],
-        )
-        for org in ORGS
-    ]
-    valid, rejected = parts[0]
-    for more_valid, more_rejected in parts[1:]:
-        valid, rejected = valid.unionByName(more_valid), rejected.unionByName(more_rejected)
-    return valid, rejected
+    """(staging rows, rejects) of all organisations' files, in one pass."""
+    rows = LANDINGS[file_type].rows(spark, sf_dir, batch)
+    file_org = F.col("file_org")
+    return stage(rows, CONTRACTS[file_type], batch, LOADED[batch], expected_org=file_org)
 
 
-def _empty(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], as_nullable(MART[name].schema))
+def _two_batches(
+    spark: SparkSession, sf_dir: str, name: str, file_type: str, merge: Callable
+) -> DataFrame:
+    """Merge both batches. Staging rows are written before a merge, and the table after the first."""
+    table = empty_rows(spark, MART[name].schema)
+    for batch in BATCHES:
+        rows, _ = staged(spark, sf_dir, file_type, batch)
+        table = merge(table, stored(rows), batch)
+        if batch != BATCHES[-1]:
+            table = stored(table)
+    return table
 
 
 @query(POLICYHOLDERS_SQL)
 def mart_policyholder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = _empty(spark, "dim_policyholder")
-    for batch in BATCHES:
-        source = policyholder_source(staged(spark, sf_dir, "basic", batch)[0])
-        dim = scd2_merge(dim, source, POLICYHOLDER, batch, batch)
-    return dim
+    def merge(dim: DataFrame, rows: DataFrame, batch: date) -> DataFrame:
+        current, closed = dim.where("is_current"), dim.where("NOT is_current")
+        return merge_policyholders(current, rows, batch, batch).unionByName(closed)
+
+    return _two_batches(spark, sf_dir, "dim_policyholder", "basic", merge)
 
 
 @query(POLICIES_SQL)
 def mart_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = _empty(spark, "dim_policy")
-    for batch in BATCHES:
-        source = policy_source(staged(spark, sf_dir, "basic", batch)[0])
-        dim = scd2_merge(dim, source, POLICY, batch, batch)
-    return dim
+    def merge(dim: DataFrame, rows: DataFrame, batch: date) -> DataFrame:
+        current, closed = dim.where("is_current"), dim.where("NOT is_current")
+        return merge_policies(current, rows, batch, batch).unionByName(closed)
+
+    return _two_batches(spark, sf_dir, "dim_policy", "basic", merge)
 
 
 @query(ADDRESSES_SQL)
 def mart_address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = _empty(spark, "dim_address")
-    for batch in BATCHES:
-        dim = merge_addresses(dim, staged(spark, sf_dir, "address", batch)[0], batch)
-    return dim
+    return _two_batches(spark, sf_dir, "dim_address", "address", merge_addresses)
 
 
 @query(PAYMENTS_SQL)
 def mart_payment_method(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = _empty(spark, "dim_payment_method")
-    for batch in BATCHES:
-        dim = merge_payment_methods(dim, staged(spark, sf_dir, "bankinfo", batch)[0], batch)
-    return dim
+    return _two_batches(spark, sf_dir, "dim_payment_method", "bankinfo", merge_payment_methods)
 
 
 @query(PREMIUMS_SQL)
 def mart_premiums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = _empty(spark, "fact_premiums")
-    for batch in BATCHES:
-        premiums, _ = staged(spark, sf_dir, "premiums", batch)
-        facts = facts.unionByName(new_premiums(facts, premiums, batch, batch))
-    return facts
+    def merge(facts: DataFrame, rows: DataFrame, batch: date) -> DataFrame:
+        return facts.unionByName(new_premiums(facts, rows, batch, batch))
+
+    return _two_batches(spark, sf_dir, "fact_premiums", "premiums", merge)
 
 
 _REJECTS_SQL = " UNION ALL ".join(
@@ -267,11 +259,11 @@ def pipeline_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "pipeline")
     for batch in BATCHES:
         files = {}
-        for org in ORGS:
-            for file_type, landing in LANDINGS.items():
-                path = f"{root}/landing/{batch}/{org}/{org}{file_type}"
-                landing.rows(spark, sf_dir, org, batch).write.option("header", True).csv(path)
-                files[org, file_type] = path
+        for file_type, landing in LANDINGS.items():
+            path = f"{root}/landing/{batch}/{file_type}"
+            rows = landing.rows(spark, sf_dir, batch)
+            rows.write.partitionBy("file_org").option("header", True).csv(path)
+            files |= {(org, file_type): f"{path}/file_org={org}" for org in ORGS}
         run_batch(spark, files, f"{root}/staging", f"{root}/mart", batch, LOADED[batch])
 
     def table(name: str) -> DataFrame:

@@ -13,6 +13,8 @@ from martloom.operators.dedup import duplicate_keys, first_per_key, latest_per_k
 from martloom.operators.merge import Scd1, Scd2, scd1_upsert, scd2_merge
 from martloom.operators.schema import columns
 from martloom.queries.registry import query, read
+from martloom.sources.scratch import stored
+from martloom.sources.tables import empty_rows
 
 # Orders are news about their customer: an earlier batch and a later one, by order date.
 CUT = date(1999, 1, 1)
@@ -128,8 +130,8 @@ def customer_news(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 def customer_dim(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     before, since = customer_news(spark, sf_dir)
-    dim = spark.createDataFrame([], CUSTOMER_DIM)
-    dim = scd2_merge(dim, before, CUSTOMER, FIRST, FIRST, **options)
+    dim = empty_rows(spark, CUSTOMER_DIM)
+    dim = stored(scd2_merge(dim, before, CUSTOMER, FIRST, FIRST, **options))
     return scd2_merge(dim, since, CUSTOMER, SECOND, SECOND, **options)
 
 
@@ -200,11 +202,14 @@ def scd2_derived_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
     )
     is_first = F.col("o_orderdate") < F.lit(CUT).cast("timestamp_ntz")
-    dim = spark.createDataFrame([], PERSON_DIM)
-    for part, batch in ((is_first, FIRST), (~is_first, SECOND)):
-        source = latest_per_key(persons.where(part), ["person_key"], ["o_orderdate", "o_orderkey"])
-        dim = scd2_merge(dim, source.drop("o_orderdate", "o_orderkey"), PERSON, batch, batch)
-    return dim
+    first, second = (
+        latest_per_key(persons.where(part), ["person_key"], ["o_orderdate", "o_orderkey"]).drop(
+            "o_orderdate", "o_orderkey"
+        )
+        for part in (is_first, ~is_first)
+    )
+    dim = stored(scd2_merge(empty_rows(spark, PERSON_DIM), first, PERSON, FIRST, FIRST))
+    return scd2_merge(dim, second, PERSON, SECOND, SECOND)
 
 
 # --- type 1
@@ -237,10 +242,9 @@ def _contacts_sql(before: str, since: str) -> str:
 @query(_contacts_sql(_BEFORE, _SINCE))
 def scd1_upsert_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources must have one row per key, and here do."""
-    dim = spark.createDataFrame([], CONTACT_DIM)
-    for source, batch in zip(customer_news(spark, sf_dir), (FIRST, SECOND)):
-        dim = scd1_upsert(dim, source, CONTACT, batch)
-    return dim
+    before, since = customer_news(spark, sf_dir)
+    dim = stored(scd1_upsert(empty_rows(spark, CONTACT_DIM), before, CONTACT, FIRST))
+    return scd1_upsert(dim, since, CONTACT, SECOND)
 
 
 def _highest_sql(condition: str) -> str:
@@ -262,11 +266,10 @@ def scd1_upsert_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderdate",
     )
     is_first = F.col("o_orderdate") < F.lit(CUT).cast("timestamp_ntz")
-    dim = spark.createDataFrame([], CONTACT_DIM)
-    for part, batch in ((is_first, FIRST), (~is_first, SECOND)):
-        order = [F.col("total").desc_nulls_last()]
-        dim = scd1_upsert(dim, news.where(part), CONTACT, batch, order=order)
-    return dim
+    order = [F.col("total").desc_nulls_last()]
+    dim = empty_rows(spark, CONTACT_DIM)
+    dim = stored(scd1_upsert(dim, news.where(is_first), CONTACT, FIRST, order=order))
+    return scd1_upsert(dim, news.where(~is_first), CONTACT, SECOND, order=order)
 
 
 # --- facts

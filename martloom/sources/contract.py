@@ -10,7 +10,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import SparkSession
 from pyspark.sql.types import DataType, DateType, DecimalType, StringType
 
-from martloom.functions import WHITESPACE
+from martloom.functions import WHITESPACE_CLASS
 
 LANDING_DECIMAL = DecimalType(15, 2)
 TYPES: dict[str, DataType] = {
@@ -44,12 +44,12 @@ class ContractColumn:
 
     @property
     def date_shape(self) -> str:
-        """A regular expression for the shape of the format, digits only."""
+        """A regular expression for the shape of the format: digits in their places."""
         parts = re.findall(r"[YMD]+|[^YMD]+", self.format)
         body = "".join(
             rf"\d{{{len(p)}}}" if p[0] in "YMD" else re.escape(p) for p in parts
         )
-        return f"^{body}$"
+        return body
 
 
 @dataclass(frozen=True)
@@ -63,8 +63,8 @@ class Contract:
     match_fallback: tuple[str, ...] = ()
     org_field: str = "org_code"
     standardized: tuple[str, ...] = DEFAULT_STANDARDIZED
-    # What counts as blank. " " alone reproduces a spaces-only trim.
-    blank_chars: str = WHITESPACE
+    # Characters that count as blank, as in a character class. " " is a spaces-only trim.
+    blank: str = WHITESPACE_CLASS
 
     def __post_init__(self) -> None:
         unknown = sorted({c.type for c in self.columns} - TYPES.keys())

@@ -39,6 +39,11 @@ def as_nullable(schema: StructType) -> StructType:
     return StructType([type(f)(f.name, f.dataType, True, f.metadata) for f in schema])
 
 
+def empty_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows. The limit tells the optimizer so, which then drops joins with them."""
+    return spark.createDataFrame([], as_nullable(schema)).limit(0)
+
+
 def read_table(spark: SparkSession, table: Table, root: str) -> DataFrame:
     """The table, in its declared column order, even when it has no files yet."""
     df = spark.read.schema(as_nullable(table.schema)).parquet(table.path(root))
@@ -60,12 +65,12 @@ def day_slice(df: DataFrame, day: date, column: str) -> DataFrame:
 
 def create_table(spark: SparkSession, table: Table, root: str) -> None:
     """An empty table, unless there is one."""
-    empty = spark.createDataFrame([], table.schema)
+    empty = empty_rows(spark, table.schema)
     empty.write.mode("ignore").partitionBy(*table.partition_by).parquet(table.path(root))
 
 
 def truncate_table(spark: SparkSession, table: Table, root: str) -> None:
-    empty = spark.createDataFrame([], table.schema)
+    empty = empty_rows(spark, table.schema)
     empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         *table.partition_by
     ).parquet(table.path(root))
