@@ -15,29 +15,34 @@ class DuplicateKeys(ValueError):
     """A merge source holds more than one row for a key."""
 
 
-def total_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> list[Column]:
-    """`order`, then every other sortable column, so that ties are between equal rows only."""
-    rest = [
+def tie_breakers(df: DataFrame, used: Sequence[str]) -> list[Column]:
+    """Every other sortable column: ties are then between rows that are equal."""
+    return [
         F.col(f"`{f.name}`").desc_nulls_last()
         for f in df.schema
-        if f.name not in keys and not isinstance(f.dataType, (MapType, VariantType))
+        if f.name not in used and not isinstance(f.dataType, (MapType, VariantType))
     ]
-    return [*order, *rest]
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """The first row of each key; NULL keys form groups of their own.
+    """The first row of each key in `order`; NULL keys form groups of their own.
 
     Spark keeps one row per key in every map task before the shuffle (window group
     limit), so a hot key sends at most one row per task.
     """
-    window = Window.partitionBy(*keys).orderBy(*total_order(df, keys, order))
-    ranked = df.withColumn(_RANK, F.row_number().over(window))
-    return ranked.where(F.col(_RANK) == 1).drop(_RANK)
+    return _first(df, keys, [*order, *tie_breakers(df, keys)])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
-    return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in by])
+    """The row of each key with the greatest `by`, NULL being the least."""
+    order = [F.col(c).desc_nulls_last() for c in by]
+    return _first(df, keys, [*order, *tie_breakers(df, [*keys, *by])])
+
+
+def _first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*(order or [F.lit(0)]))
+    ranked = df.withColumn(_RANK, F.row_number().over(window))
+    return ranked.where(F.col(_RANK) == 1).drop(_RANK)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

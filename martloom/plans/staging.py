@@ -7,10 +7,9 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from martloom.operators.mapping import add_audit, map_columns, typed_cast
-from martloom.operators.schema import conform, schema_diff
+from martloom.operators.schema import columns, conform, schema_diff
 from martloom.operators.validate import (
     REASON,
     load_counts,
@@ -24,8 +23,11 @@ from martloom.sources.delimited import scan_delimited
 from martloom.sources.tables import Table, empty_rows, quarantine, replace_partition
 
 
-# Rows that failed a check, as text. Their columns depend on the file type, which is a folder.
-REJECTS = Table("rejected", StructType())
+# Rows that failed a check, as text. Other columns depend on the file type, which is a folder.
+REJECTS = Table(
+    "rejected",
+    columns(rejection_reason="STRING", load_timestamp="TIMESTAMP"),
+)
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.quality import fact_dim_join
 from martloom.operators.validate import REASON
+from martloom.plans.checks import mart_faults
 from martloom.plans.mart import (
     merge_addresses,
     merge_payment_methods,
@@ -278,3 +279,41 @@ def pipeline_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         with_policy, table("dim_payment_method"), keys,
         ["payment_method_type", "account_number_last_4", "bank_name"],
     )
+
+
+_FAULTS_SQL = f"""
+    WITH p AS ({POLICIES_SQL}), h AS ({POLICYHOLDERS_SQL}), m AS ({PAYMENTS_SQL}), f AS ({PREMIUMS_SQL})
+    SELECT 'fact_premiums' AS table_name, 'duplicate_key' AS check_name, count(*) AS n_faults
+    FROM (SELECT transaction_id FROM f GROUP BY ALL HAVING count(*) > 1)
+    UNION ALL SELECT 'fact_premiums', 'orphan_policy', count(*)
+    FROM (SELECT DISTINCT policy_number, org_code FROM f ANTI JOIN p USING (policy_number, org_code))
+    UNION ALL SELECT 'fact_premiums', 'column', 0
+    UNION ALL SELECT 'dim_payment_method', 'duplicate_key', count(*)
+    FROM (SELECT policy_number FROM m GROUP BY policy_number, org_code HAVING count(*) > 1)
+    UNION ALL SELECT 'dim_payment_method', 'column', 0
+    UNION ALL SELECT 'dim_policy', 'multiple_current', count(*)
+    FROM (SELECT policy_number FROM p WHERE is_current GROUP BY policy_number, org_code HAVING count(*) > 1)
+    UNION ALL SELECT 'dim_policy', 'interval', count(*)
+    FROM (SELECT *, lead(effective_date_scd) OVER (PARTITION BY policy_number, org_code
+                                                   ORDER BY effective_date_scd) AS next_start FROM p)
+    WHERE end_date_scd < effective_date_scd OR next_start IS DISTINCT FROM end_date_scd + INTERVAL 1 DAY
+    UNION ALL SELECT 'dim_policy', 'column', 0
+    UNION ALL SELECT 'dim_policyholder', 'multiple_current', count(*)
+    FROM (SELECT 1 FROM h WHERE is_current GROUP BY policyholder_business_key, org_code HAVING count(*) > 1)
+    UNION ALL SELECT 'dim_policyholder', 'interval', count(*)
+    FROM (SELECT *, lead(effective_date) OVER (PARTITION BY policyholder_business_key, org_code
+                                               ORDER BY effective_date) AS next_start FROM h)
+    WHERE end_date < effective_date OR next_start IS DISTINCT FROM end_date + INTERVAL 1 DAY
+    UNION ALL SELECT 'dim_policyholder', 'column', 0"""
+
+
+@query(_FAULTS_SQL)
+def mart_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check on the mart. Premium ids repeat in the given data, and some premiums have no policy."""
+    tables = {
+        "fact_premiums": stored(mart_premiums(spark, sf_dir)),
+        "dim_payment_method": stored(mart_payment_method(spark, sf_dir)),
+        "dim_policy": stored(mart_policy(spark, sf_dir)),
+        "dim_policyholder": stored(mart_policyholder(spark, sf_dir)),
+    }
+    return mart_faults(tables)

@@ -20,6 +20,7 @@ from martloom.sources.tables import (
     batch_slice,
     create_table,
     day_slice,
+    empty_rows,
     read_table,
     replace_partition as replace_one,
     replace_touched_partitions,
@@ -128,24 +129,21 @@ def replace_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_rows(orders, _ORDERS, root)
     again = orders.where(F.col("org_code") == "F").withColumn("amount", -F.col("amount"))
     replace_touched_partitions(again, _ORDERS, root)
-    nothing = spark.createDataFrame([], _ORDERS.schema)
+    nothing = empty_rows(spark, _ORDERS.schema)
     replace_one(nothing, _ORDERS, root, {"org_code": "P", "batch_date": _FIRST})
     return read_table(spark, _ORDERS, root)
 
 
-_REGIONS = Table("regions", columns(
-    r_regionkey="INT NOT NULL",
-    r_name="STRING",
-))
+_PARTS = Table("parts", columns(p_partkey="BIGINT NOT NULL", p_name="STRING", p_brand="STRING"))
 
 
-@query("SELECT r_regionkey, r_name FROM region")
+@query("SELECT p_partkey, p_name, p_brand FROM part")
 def seed_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeded twice; the second time changes nothing."""
     root = scratch_dir(spark, "seed")
     for _ in range(2):
-        seed_table(read(spark, sf_dir, "region"), _REGIONS, root)
-    return read_table(spark, _REGIONS, root)
+        seed_table(read(spark, sf_dir, "part"), _PARTS, root)
+    return read_table(spark, _PARTS, root)
 
 
 @query("""
