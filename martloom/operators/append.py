@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.dedup import first_per_key
 from martloom.operators.sizing import fits_broadcast
+from martloom.operators.skew import unmet_rows
 
 
 def new_facts(
@@ -25,18 +24,17 @@ def new_facts(
 
     Rows of one batch that share a key but differ are all kept, unless `one_per_key`.
     The target is read on its key columns only. If the batch's keys are measured small
-    enough they are broadcast and the target is not shuffled; otherwise this is a
-    shuffled anti join, whose batch side AQE splits when a key is hot.
+    enough they are broadcast and the target is not shuffled; otherwise both meet in a
+    shuffled anti join, in which neither side's hot keys end up in one task.
     """
+    keys = list(keys)
     rows = first_per_key(batch, keys) if one_per_key else batch.distinct()
-    held = target.select(*[F.col(f"`{k}`").alias(f"_held_{k}") for k in keys])
-    on = reduce(and_, [F.col(f"_held_{k}") == F.col(f"`{k}`") for k in keys])
-
+    held = target.select(*keys)
     batch_keys = batch.select(*keys).distinct()
     if broadcast_keys is None:
         broadcast_keys = fits_broadcast(batch_keys)
     if not broadcast_keys:
-        return rows.join(held, on, "left_anti")
+        return unmet_rows(rows, held, keys)
     # At most the batch's own keys, hence within the same bound.
-    met = held.join(F.broadcast(batch_keys), on, "left_semi").distinct()
-    return rows.join(F.broadcast(met), on, "left_anti")
+    met = held.join(F.broadcast(batch_keys), keys, "left_semi").distinct()
+    return rows.join(F.broadcast(met), keys, "left_anti").select(*batch.columns)

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from martloom.operators.dedup import duplicate_keys
 from martloom.operators.merge import Scd2
+from martloom.operators.skew import lookup_join
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -52,14 +53,15 @@ def current_rows(dim: DataFrame, keys: Sequence[str], current: str, columns: Seq
 
 
 def fact_dim_join(
-    fact: DataFrame, dim: DataFrame, keys: Sequence[str], columns: Sequence[str], current: str = "is_current"
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    current: str = "is_current",
+    **options,
 ) -> DataFrame:
-    """Facts with attributes of the current version.
-
-    An equi join on the whole key: AQE broadcasts a small dimension and splits a hot
-    fact key, since the dimension has one row per key.
-    """
-    return fact.join(current_rows(dim, keys, current, columns), list(keys), "inner")
+    """Facts with attributes of the current version; options as for `lookup_join`."""
+    return lookup_join(fact, current_rows(dim, keys, current, columns), keys, **options)
 
 
 def orphans(fact: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:

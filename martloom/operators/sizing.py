@@ -11,6 +11,9 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, Struct
 # A broadcast side is held whole by every executor: bounds for one side.
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
+# An estimate is no proof that something is small, but reason enough not to measure it.
+NOT_WORTH_MEASURING = 1000 * BROADCAST_BYTES
+UNKNOWN = 2**62
 # Upper estimate for a fixed-width value, or the header of one of variable width.
 SLOT_BYTES = 16
 
@@ -36,5 +39,9 @@ def measure(df: DataFrame) -> Size:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
+    """Whether `df` is measured small enough. What the optimizer thinks huge is not measured."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if NOT_WORTH_MEASURING < estimate < UNKNOWN:
+        return False
     size = measure(df)
     return size.rows <= BROADCAST_ROWS and size.bytes <= BROADCAST_BYTES

@@ -41,8 +41,11 @@ from martloom.sources.tables import (
     Table,
     as_nullable,
     batch_slice,
+    committed_folders,
     create_table,
+    drop_folder,
     empty_rows,
+    read_table,
     replace_partition,
     seed_table,
 )
@@ -152,42 +155,59 @@ def seed_organizations(spark: SparkSession, root: str, load_date: date) -> None:
     seed_table(spark.createDataFrame(rows, table.schema), table, root)
 
 
+def batches(spark: SparkSession, table: Table, root: str) -> list[date]:
+    """The batches whose folder is complete, in order."""
+    return sorted(date.fromisoformat(b) for b in committed_folders(spark, table.path(root), BATCH))
+
+
 def latest_batch(
     spark: SparkSession, table: Table, root: str, before: date | None = None
 ) -> date | None:
-    """The last batch in the table; reads no column but the folder names'."""
-    batches = _stored(spark, table, root).select(BATCH)
-    if before is not None:
-        batches = batches.where(F.col(BATCH) < F.lit(before))
-    return batches.agg(F.max(BATCH)).first()[0]
+    return max((b for b in batches(spark, table, root) if before is None or b < before), default=None)
 
 
 def read_mart(spark: SparkSession, name: str, root: str) -> DataFrame:
     """A mart table as of its last batch, in its declared columns."""
     table = MART[name]
-    columns = table.schema.fieldNames()
-    rows = _stored(spark, table, root)
-    if name == "fact_premiums" or name == "dim_organization":
-        return rows.select(*columns)
+    if name == "dim_organization":
+        return read_table(spark, table, root)
     last = F.lit(latest_batch(spark, table, root)).cast("date")
-    if name in SCD2_TABLES:
-        open_now = F.col("is_current") & (F.col(BATCH) == last)
-        return rows.where(open_now | (~F.col("is_current") & (F.col(BATCH) <= last))).select(*columns)
-    return rows.where(F.col(BATCH) == last).select(*columns)
+    if name == "fact_premiums":
+        rows = _stored(spark, table, root).where(F.col(BATCH) <= last)
+    elif name in SCD2_TABLES:
+        is_open = F.col("is_current") & (F.col(BATCH) == last)
+        rows = _stored(spark, table, root).where(is_open | (~F.col("is_current") & (F.col(BATCH) <= last)))
+    else:
+        rows = _stored(spark, table, root).where(F.col(BATCH) == last)
+    return rows.select(*table.schema.fieldNames())
 
 
 def _state_before(spark: SparkSession, name: str, root: str, batch_date: date) -> DataFrame:
-    """The rows a merge of the batch meets: current versions, or all rows of a type 1 table."""
+    """The rows a merge of the batch meets: current versions, or all rows of a type 1 table.
+
+    Only the folder of the batch before is listed and read.
+    """
     table = MART[name]
     last = latest_batch(spark, table, root, before=batch_date)
     if last is None:
         return empty_rows(spark, table.schema)
-    rows = batch_slice(_stored(spark, table, root), last, BATCH)
+    folder = f"{table.path(root)}/{BATCH}={last}"
+    rows = spark.read.schema(as_nullable(table.schema)).option("basePath", folder).parquet(folder)
     if name in SCD2_TABLES:
         rows = rows.where(F.col("is_current"))
     return rows.select(*table.schema.fieldNames())
 
 
+def expire_slices(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Drop the state of all but the last `keep` batches. History and facts are never dropped."""
+    for name, table in MART.items():
+        if name in ("dim_organization", "fact_premiums"):
+            continue
+        for batch in batches(spark, table, root)[: -max(keep, 1)]:
+            folder = f"{table.path(root)}/{BATCH}={batch}"
+            drop_folder(spark, f"{folder}/is_current=true" if name in SCD2_TABLES else folder)
+
+
 def _staged(spark: SparkSession, file_type: str, root: str, batch_date: date) -> DataFrame:
     table = STAGING[file_type]
     rows = spark.read.schema(as_nullable(table.schema)).parquet(table.path(root))

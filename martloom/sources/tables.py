@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +39,29 @@ def as_nullable(schema: StructType) -> StructType:
     return StructType([type(f)(f.name, f.dataType, True, f.metadata) for f in schema])
 
 
+def committed_folders(spark: SparkSession, path: str, column: str) -> dict[str, str]:
+    """Value to folder, for the folders `column=value` right under `path` whose job has ended.
+
+    One listing of names, however many files lie in the folders.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return {}
+    found = {}
+    for entry in files.listStatus(root):
+        name = entry.getPath().getName()
+        if name.startswith(f"{column}=") and files.exists(hadoop.Path(entry.getPath(), "_SUCCESS")):
+            found[unquote(name.split("=", 1)[1])] = entry.getPath().toString()
+    return found
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def empty_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows. The limit tells the optimizer so, which then drops joins with them."""
     return spark.createDataFrame([], as_nullable(schema)).limit(0)

@@ -4,7 +4,7 @@ from random import Random
 import pytest
 from pyspark.sql import functions as F
 
-from martloom.operators import quality, sizing
+from martloom.operators import quality, sizing, skew
 from martloom.operators.append import new_facts
 from martloom.operators.merge import Scd2
 from martloom.operators.schema import columns
@@ -25,6 +25,24 @@ def test_new_facts(spark, broadcast):
     assert new_facts(batch.where("id is not null"), held.union(added), ["id"]).isEmpty()
 
 
+@pytest.mark.parametrize("hot_rows", [1, 4, 1000])
+def test_hot_keys_leave_results_alone(spark, hot_rows):
+    left = spark.range(60).selectExpr(
+        "CAST(CASE WHEN id % 3 = 0 THEN 7 WHEN id = 1 THEN NULL ELSE id % 5 END AS INT) AS k", "id"
+    )
+    right = spark.createDataFrame([(k, k == 7, f"v{k}") for k in (0, 1, 7)] + [(None, True, "n")], "k int, f boolean, v string")
+    joined = skew.lookup_join(left, right, ["k"], broadcast_right=False, hot_rows=hot_rows)
+    assert table(joined) == table(left.join(right, ["k"]))
+    many = right.unionByName(right)
+    assert table(skew.unmet_rows(left, many, ["k"], hot_rows=hot_rows)) == table(left.join(right, ["k"], "left_anti"))
+
+
+def test_hottest_keys(spark):
+    df = spark.range(30).selectExpr("CASE WHEN id < 20 THEN 1 ELSE id END AS k")
+    assert table(skew.hottest_keys(df, ["k"], 10)) == [(1,)]
+    assert skew.hottest_keys(df, ["k"], 21) is None
+
+
 def test_target_is_read_on_its_keys_only(spark, tmp_path):
     wide = spark.range(100).selectExpr("id", "id * 2 AS a", "id * 3 AS b")
     wide.write.parquet(str(tmp_path / "t"))
