@@ -1,7 +1,9 @@
 """Time every registered query; prints one JSON line.
 
 Each query is run to the end into the no-op sink, after one untimed run of a small query.
-`value` is the sum over all queries. BENCH_ONLY names a few, separated by commas.
+`value` is the sum over all queries. `landing_rows_per_sec` is the rate of the whole
+two-batch load and transform, which includes writing its landing files.
+BENCH_ONLY names a few queries, separated by commas.
 """
 
 from __future__ import annotations
@@ -13,6 +15,9 @@ import time
 from pyspark.sql import SparkSession
 
 from martloom.queries import QUERIES
+from martloom.queries.landing import BATCHES, LANDINGS
+
+PIPELINE = "pipeline_two_batches"
 
 
 def session() -> SparkSession:
@@ -34,6 +39,10 @@ def run(spark: SparkSession, name: str, sf_dir: str) -> float:
     return time.perf_counter() - start
 
 
+def landing_rows(spark: SparkSession, sf_dir: str) -> int:
+    return sum(x.rows(spark, sf_dir, b).count() for x in LANDINGS.values() for b in BATCHES)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     chosen = os.environ.get("BENCH_ONLY")
@@ -49,6 +58,9 @@ def main() -> None:
         "queries": seconds,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
+    if PIPELINE in seconds:
+        rows = landing_rows(spark, sf_dir)
+        report |= {"landing_rows": rows, "landing_rows_per_sec": round(rows / seconds[PIPELINE])}
     print(json.dumps(report))
     spark.stop()
 

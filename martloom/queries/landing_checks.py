@@ -16,7 +16,7 @@ from martloom.functions import (
 )
 from martloom.operators.mapping import ColumnMapping, add_audit, map_columns, typed_cast
 from martloom.operators.schema import columns, conform
-from martloom.operators.validate import REASON, all_reasons, row_checks, split, validate
+from martloom.operators.validate import all_reasons, row_checks, split, validate
 from martloom.plans.staging import load_audit
 from martloom.queries.registry import query, read
 from martloom.sources.contract import parse_contract
@@ -104,7 +104,7 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     SELECT priority, count(*) AS total, count(*) FILTER (rejection_reason IS NULL) AS valid,
            count(*) FILTER (rejection_reason IS NOT NULL) AS rejected
-    FROM ({_JUDGED}) GROUP BY priority""")
+    FROM ({_JUDGED}) GROUP BY priority""", name="load_audit")
 def load_counts_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_audit(validate(dirty_orders(spark, sf_dir), ORDER_CONTRACT), "priority")
 
@@ -113,7 +113,7 @@ def load_counts_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT order_id, customer_id, org_code, priority,
            CASE WHEN {_SHAPED} THEN TRY_CAST(order_date AS DATE) END AS order_date,
            TRY_CAST(amount AS DECIMAL(15,2)) AS amount
-    FROM ({_DIRTY})""")
+    FROM ({_DIRTY})""", name="typed_cast")
 def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_cast(dirty_orders(spark, sf_dir), ORDER_CONTRACT)
 
@@ -121,8 +121,8 @@ def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT 'main' AS org_code, DATE '2026-03-31' AS batch_date, 'customer' AS file_type,
            'schema mismatch' AS rejection_reason,
-           to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey,
-                    'c_mktsegment': CASE WHEN c_acctbal >= 0 THEN c_mktsegment END}) AS raw_record
+           CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey,
+                    'c_mktsegment': CASE WHEN c_acctbal >= 0 THEN c_mktsegment END}) AS VARCHAR) AS raw_record
     FROM customer""")
 def quarantine_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "customer").selectExpr(
@@ -175,22 +175,27 @@ def mask_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT c_custkey, CASE WHEN {_TRIMMED} <> '' THEN 'SSN' ELSE 'NAME_DOB' END AS method,
+    SELECT c_custkey, CASE WHEN {_TRIMMED} <> '' THEN 'SSN' ELSE 'NAME_DOB' END AS method
+    FROM customer""", name="match_method")
+def matched_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    method = match_method(F.col("identifier"))
+    return customer_identifiers(spark, sf_dir).select("c_custkey", method.alias("method"))
+
+
+@query(f"""
+    SELECT c_custkey,
            coalesce(CASE WHEN {_TRIMMED} <> '' THEN sha256({_TRIMMED}) END,
                     c_mktsegment || '_' || CAST(c_custkey AS VARCHAR) || '_NAME_DOB') AS person_key
-    FROM customer""")
-def match_and_business_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    FROM customer""", name="business_key")
+def person_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     identifier = F.col("identifier")
-    method = match_method(identifier)
-    key = business_key(
-        hash_identifier(identifier), [F.col("c_mktsegment"), F.col("account")], method
-    )
-    return customer_identifiers(spark, sf_dir).select(
-        "c_custkey", method.alias("method"), key.alias("person_key")
-    )
+    fallback = [F.col("c_mktsegment"), F.col("account")]
+    key = business_key(hash_identifier(identifier), fallback, match_method(identifier))
+    return customer_identifiers(spark, sf_dir).select("c_custkey", key.alias("person_key"))
 
 
-_SUPPLIER_TARGET = columns(
+# The supplier table as a landing file, mapped onto a table of other names and types.
+SUPPLIERS = columns(
     supplier_number="STRING NOT NULL",
     batch_date="DATE NOT NULL",
     full_name="STRING",
@@ -199,17 +204,10 @@ _SUPPLIER_TARGET = columns(
     status="STRING",
     load_timestamp="TIMESTAMP NOT NULL",
 )
+_BATCH, _LOADED = date(2026, 3, 31), datetime(2026, 3, 31, 6, 0, 0)
 
 
-@query("""
-    SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS supplier_number, DATE '2026-03-31' AS batch_date,
-           s_name || ' ' || CAST(s_nationkey AS VARCHAR) AS full_name, CAST(NULL AS VARCHAR) AS country,
-           CAST(s_acctbal AS DECIMAL(12,2)) AS balance,
-           CASE WHEN s_acctbal < 0 THEN 'UNKNOWN' ELSE 'ACTIVE' END AS status,
-           '2026-03-31 06:00:00' AS load_timestamp
-    FROM supplier""")
-def map_and_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rename, derive, drop, stamp, then fit the target: order, types, defaults, NOT NULL."""
+def _mapped_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapping = ColumnMapping(
         derived={
             "supplier_number": lambda: F.concat(F.lit("S"), F.col("s_suppkey").cast("string")),
@@ -219,8 +217,38 @@ def map_and_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
         renamed={"s_acctbal": "balance"},
         dropped=("s_suppkey", "s_name", "s_nationkey"),
     )
-    mapped = map_columns(read(spark, sf_dir, "supplier"), mapping)
-    stamped = add_audit(mapped, date(2026, 3, 31), datetime(2026, 3, 31, 6, 0, 0))
-    fitted = conform(stamped, _SUPPLIER_TARGET, {"status": F.lit("UNKNOWN")})
-    shown = F.date_format("load_timestamp", "yyyy-MM-dd HH:mm:ss")
-    return fitted.withColumn("load_timestamp", shown)
+    return map_columns(read(spark, sf_dir, "supplier"), mapping)
+
+
+def _time_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("load_timestamp", F.date_format("load_timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("""
+    SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS supplier_number,
+           s_name || ' ' || CAST(s_nationkey AS VARCHAR) AS full_name, s_acctbal AS balance,
+           CASE WHEN s_acctbal >= 0 THEN 'ACTIVE' END AS status
+    FROM supplier""", name="map_columns")
+def mapped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derive, rename, drop."""
+    return _mapped_suppliers(spark, sf_dir)
+
+
+@query("""
+    SELECT *, DATE '2026-03-31' AS batch_date, '2026-03-31 06:00:00' AS load_timestamp
+    FROM supplier""", name="audit_columns")
+def stamped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _time_as_text(add_audit(read(spark, sf_dir, "supplier"), _BATCH, _LOADED))
+
+
+@query("""
+    SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS supplier_number, DATE '2026-03-31' AS batch_date,
+           s_name || ' ' || CAST(s_nationkey AS VARCHAR) AS full_name, CAST(NULL AS VARCHAR) AS country,
+           CAST(s_acctbal AS DECIMAL(12,2)) AS balance,
+           CASE WHEN s_acctbal < 0 THEN 'UNKNOWN' ELSE 'ACTIVE' END AS status,
+           '2026-03-31 06:00:00' AS load_timestamp
+    FROM supplier""", name="conform_columns")
+def conformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target's columns in its order and types; a default for what is missing; NOT NULL kept."""
+    stamped = add_audit(_mapped_suppliers(spark, sf_dir), _BATCH, _LOADED)
+    return _time_as_text(conform(stamped, SUPPLIERS, {"status": F.lit("UNKNOWN")}))

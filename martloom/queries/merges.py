@@ -135,7 +135,7 @@ def customer_dim(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return scd2_merge(dim, since, CUSTOMER, SECOND, SECOND, **options)
 
 
-@query(CUSTOMER_DIM_SQL)
+@query(CUSTOMER_DIM_SQL, name="scd2_merge")
 def scd2_merge_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer_dim(spark, sf_dir)
 
@@ -255,7 +255,7 @@ def _highest_sql(condition: str) -> str:
 
 @query(_contacts_sql(
     _highest_sql(f"o_orderdate < DATE '{CUT}'"), _highest_sql(f"o_orderdate >= DATE '{CUT}'")
-))
+), name="scd1_upsert")
 def scd1_upsert_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources with many rows per key, of which the one with the highest total counts."""
     news = read(spark, sf_dir, "orders").select(

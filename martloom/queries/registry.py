@@ -12,12 +12,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str) -> Callable[[Query], Query]:
-    """Register a query under its function's name, with the SQL that gives the same rows."""
+def query(oracle: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, by default under its function's name, with SQL that gives the same rows."""
 
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = run
-        ORACLES[run.__name__] = oracle
+        key = name or run.__name__
+        if key in QUERIES:
+            raise ValueError(f"two queries are called {key}")
+        QUERIES[key], ORACLES[key] = run, oracle
         return run
 
     return register

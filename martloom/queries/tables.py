@@ -53,7 +53,7 @@ _TEXT_ORDERS = {
 @query(f"""
     SELECT order_number, note, CAST(order_date AS DATE) AS order_date,
            CAST(amount AS DECIMAL(15,2)) AS amount
-    FROM (SELECT {", ".join(f"{e} AS {n}" for n, e in _TEXT_ORDERS.items())} FROM orders)""")
+    FROM (SELECT {", ".join(f"{e} AS {n}" for n, e in _TEXT_ORDERS.items())} FROM orders)""", name="scan_delimited")
 def scan_delimited_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns by header name, whatever their place; quotes and delimiters inside values."""
     path = scratch_dir(spark, "delimited")
@@ -64,7 +64,7 @@ def scan_delimited_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT event_id, ts, user_id, event_type FROM events
-    WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'""")
+    WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'""", name="batch_slice")
 def batch_slice_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range on the timestamp itself, which reaches the scan."""
     events = day_slice(read(spark, sf_dir, "events"), date(2024, 1, 15), "ts")
@@ -121,7 +121,7 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     {_ORDERS_SQL}, DATE '{_FIRST}' AS batch_date FROM orders WHERE o_orderstatus = 'O'
     UNION ALL
     SELECT o_orderkey, CAST(-o_totalprice AS DECIMAL(12,2)), o_orderstatus, DATE '{_FIRST}'
-    FROM orders WHERE o_orderstatus = 'F'""")
+    FROM orders WHERE o_orderstatus = 'F'""", name="replace_partition")
 def replace_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All loaded; then one organisation loaded again, and one with no rows at all."""
     root = scratch_dir(spark, "replace")
