@@ -8,16 +8,17 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from martloom.sources.contract import Contract, ContractColumn
 
 
-def parse_value(column: ContractColumn) -> Column:
-    """A text column read as its contract type; NULL where that is impossible."""
+def parse_value(column: ContractColumn, data_type: DataType | None = None) -> Column:
+    """A text column read as its contract type, or `data_type`; NULL where that is impossible."""
     c = F.col(column.name)
     if column.type == "date":
         return F.try_to_date(c, column.date_pattern)
-    return c.try_cast(column.spark_type)
+    return c.try_cast(data_type or column.spark_type)
 
 
 def typed_cast(df: DataFrame, contract: Contract) -> DataFrame:

@@ -95,7 +95,13 @@ def conform(
         value = F.col(f"`{field.name}`") if field.name in have else F.lit(None)
         if field.name in defaults:
             value = F.coalesce(value, defaults[field.name])
-        value = value.cast(field.dataType)
+        if field.name not in have:
+            value = value.cast(field.dataType)
+        elif df.schema[field.name].dataType != field.dataType:
+            # Spelled out, as a plain cast loses what does not fit where ANSI mode is off.
+            fitted = value.try_cast(field.dataType)
+            misfit = F.raise_error(F.lit(f"value does not fit {field.name}")).cast(field.dataType)
+            value = F.when(value.isNotNull() & fitted.isNull(), misfit).otherwise(fitted)
         if not field.nullable:
             value = F.coalesce(
                 value, F.raise_error(F.lit(f"NULL in {field.name}")).cast(field.dataType)

@@ -5,10 +5,11 @@ Everything here is one narrow projection: no shuffle, and one scan per consumer.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from martloom.functions import hash_identifier, is_blank, match_method, standardize_name
 from martloom.operators.mapping import parse_value
@@ -36,22 +37,27 @@ def date_shape_check(name: str, contract: Contract) -> Column:
     return F.when(~F.col(name).rlike(passes), F.lit(f"invalid_date_format: {name}"))
 
 
-def cast_check(name: str, contract: Contract) -> Column:
-    """A value that is there but cannot be read as the contract's type."""
+def cast_check(name: str, contract: Contract, data_type: DataType | None = None) -> Column:
+    """A value that is there but cannot be read as the contract's type, or as `data_type`."""
     column = next(c for c in contract.columns if c.name == name)
     return F.when(
-        ~is_blank(F.col(name), contract.blank) & parse_value(column).isNull(),
+        ~is_blank(F.col(name), contract.blank) & parse_value(column, data_type).isNull(),
         F.lit(f"invalid_{column.type}: {name}"),
     )
 
 
 def row_checks(
-    contract: Contract, *, strict: bool = False, expected_org: Column | None = None
+    contract: Contract,
+    *,
+    strict: bool = False,
+    expected_org: Column | None = None,
+    types: Mapping[str, DataType] | None = None,
 ) -> list[Column]:
     """The contract as checks, in order of precedence; each is a reason or NULL.
 
     Not-null checks come first, then the organisation, then the shapes of dates.
-    `strict` adds impossible dates and unreadable numbers, which would else load as NULL.
+    `strict` adds impossible dates and unreadable numbers, which would else load as NULL;
+    `types` holds the types of columns whose table is narrower than the contract.
     `expected_org` replaces the contract's organisation where files of several are checked
     in one pass.
     """
@@ -63,7 +69,7 @@ def row_checks(
     checks += [date_shape_check(c.name, contract) for c in contract.of_type("date")]
     if strict:
         typed = contract.of_type("date") + contract.of_type("decimal")
-        checks += [cast_check(c.name, contract) for c in typed]
+        checks += [cast_check(c.name, contract, (types or {}).get(c.name)) for c in typed]
     return checks
 
 
@@ -81,11 +87,12 @@ def standardize(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def validate(
-    df: DataFrame, contract: Contract, *, strict: bool = False, expected_org: Column | None = None
-) -> DataFrame:
-    """Contract rows, names standardised, plus the first reason to reject each, or NULL."""
-    checks = row_checks(contract, strict=strict, expected_org=expected_org)
+def validate(df: DataFrame, contract: Contract, *, strict: bool = False, **options) -> DataFrame:
+    """Contract rows, names standardised, plus the first reason to reject each, or NULL.
+
+    Options as for `row_checks`.
+    """
+    checks = row_checks(contract, strict=strict, **options)
     if strict and MALFORMED in df.columns:
         checks.insert(0, F.when(F.col(MALFORMED), F.lit("malformed_row")))
     return standardize(df, contract).withColumn(REASON, first_reason(checks)).drop(MALFORMED)

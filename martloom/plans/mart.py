@@ -171,14 +171,15 @@ def read_mart(spark: SparkSession, name: str, root: str) -> DataFrame:
     table = MART[name]
     if name == "dim_organization":
         return read_table(spark, table, root)
-    last = F.lit(latest_batch(spark, table, root)).cast("date")
+    done = batches(spark, table, root)
+    batch, rows = F.col(BATCH), _stored(spark, table, root)
     if name == "fact_premiums":
-        rows = _stored(spark, table, root).where(F.col(BATCH) <= last)
+        rows = rows.where(batch.isin(done))
     elif name in SCD2_TABLES:
-        is_open = F.col("is_current") & (F.col(BATCH) == last)
-        rows = _stored(spark, table, root).where(is_open | (~F.col("is_current") & (F.col(BATCH) <= last)))
+        is_current = F.col("is_current")
+        rows = rows.where((is_current & batch.isin(done[-1:])) | (~is_current & batch.isin(done)))
     else:
-        rows = _stored(spark, table, root).where(F.col(BATCH) == last)
+        rows = rows.where(batch.isin(done[-1:]))
     return rows.select(*table.schema.fieldNames())
 
 
@@ -229,7 +230,8 @@ def transform_table(
         raise BatchOutOfOrder(f"{name} already has batch {last}, later than {batch_date}")
 
     if name == "fact_premiums":
-        held = _stored(spark, MART[name], mart_root).where(F.col(BATCH) < F.lit(batch_date))
+        before = [b for b in batches(spark, MART[name], mart_root) if b < batch_date]
+        held = _stored(spark, MART[name], mart_root).where(F.col(BATCH).isin(before))
         staged = _staged(spark, "premiums", staging_root, batch_date)
         _publish(new_premiums(held, staged, batch_date, load_date), name, mart_root, batch_date)
         return

@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from martloom.operators.mapping import add_audit, map_columns, typed_cast
 from martloom.operators.schema import columns, conform, schema_diff
@@ -26,7 +27,11 @@ from martloom.sources.tables import Table, empty_rows, quarantine, replace_parti
 # Rows that failed a check, as text. Other columns depend on the file type, which is a folder.
 REJECTS = Table(
     "rejected",
-    columns(rejection_reason="STRING", load_timestamp="TIMESTAMP"),
+    columns(
+        rejection_reason="STRING", load_timestamp="TIMESTAMP", file_org="STRING",
+        batch_date="DATE", file_type="STRING",
+    ),
+    ("file_org", "batch_date", "file_type"),
 )
 
 
@@ -38,6 +43,14 @@ class LoadCounts:
     quarantined: int = 0
 
 
+def table_types(contract: Contract) -> dict[str, DataType]:
+    """The staging table's types under the landing names."""
+    renamed = MAPPINGS[contract.file_type].renamed
+    schema = STAGING[contract.file_type].schema
+    names = {name: renamed.get(name, name) for name in contract.names}
+    return {n: schema[t].dataType for n, t in names.items() if t in schema.fieldNames()}
+
+
 def check_rows(
     rows: DataFrame,
     contract: Contract,
@@ -49,7 +62,9 @@ def check_rows(
     expected_org: Column | None = None,
 ) -> DataFrame:
     """Landing rows judged, masked and stamped, still as text. One narrow projection."""
-    judged = validate(rows, contract, strict=strict, expected_org=expected_org)
+    judged = validate(
+        rows, contract, strict=strict, expected_org=expected_org, types=table_types(contract)
+    )
     judged = mask_identifier(judged, contract, salt)
     if contract.file_type in MASKS:
         judged = map_columns(judged, MASKS[contract.file_type])
@@ -103,7 +118,7 @@ def load_file(
 
     table, held = STAGING[contract.file_type], STAGING["rejected"]
     owned = {"org_code": contract.org, "batch_date": batch_date}
-    owned_rejects = owned | {"file_type": contract.file_type}
+    owned_quarantine = owned | {"file_type": contract.file_type}
     diff = schema_diff(staged.schema, table.schema)
     if diff.missing:
         # These cannot become rows of the table: load nothing, but keep them whole.
@@ -116,11 +131,15 @@ def load_file(
         loaded = conform(staged, table.schema)
         kept = empty_rows(spark, held.schema)
     replace_partition(loaded, table, root, owned)
-    replace_partition(kept, held, root, owned_rejects)
+    replace_partition(kept, held, root, owned_quarantine)
 
     counts = LoadCounts(**seen.get)
     if not counts.rejected:
         rejected = rejected.limit(0)
+    # Rejects keep their own organisation column: it may be what is wrong with them.
+    owned_rejects = {
+        "file_org": contract.org, "batch_date": batch_date, "file_type": contract.file_type
+    }
     replace_partition(rejected, REJECTS, root, owned_rejects, file_format=reject_format)
     return replace(counts, valid=0, quarantined=counts.valid) if diff.missing else counts
 

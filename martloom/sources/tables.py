@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
-from urllib.parse import quote, unquote
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,6 +106,13 @@ def append_rows(df: DataFrame, table: Table, root: str) -> None:
     )
 
 
+def _escaped(value: str) -> str:
+    """A folder-name value as Spark writes it."""
+    return "".join(
+        f"%{ord(ch):02X}" if ch in '"#%\'*/:=?\\{[]^\x7f' or ch < " " else ch for ch in value
+    )
+
+
 def replace_partition(
     df: DataFrame,
     table: Table,
@@ -118,8 +125,10 @@ def replace_partition(
 
     Columns named in `values` are carried by the folder and not written.
     """
-    folder = "/".join(f"{k}={quote(str(v), safe=' ')}" for k, v in values.items())
+    folder = "/".join(f"{k}={_escaped(str(v))}" for k, v in values.items())
     rows = df.drop(*values).write.format(file_format).option("header", True)
+    # The mark `committed_folders` looks for, whatever the cluster's default.
+    rows = rows.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
     rows.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*within).save(
         f"{table.path(root)}/{folder}"
     )

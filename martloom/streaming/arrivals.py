@@ -7,14 +7,16 @@ published, so a restart after a failure neither loses nor repeats any.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martloom.plans.policy_mart import STAGING
-from martloom.plans.staging import stage
+from martloom.plans.staging import REJECTS, stage
 from martloom.sources.contract import Contract
 
 
@@ -36,10 +38,26 @@ def load_arrivals(
     batch_date: date,
     load_timestamp: datetime,
     checkpoint: str,
-) -> StreamingQuery:
-    """Stage what has arrived and not been staged yet, then stop. One root per stream."""
-    rows, _ = stage(landing_stream(spark, folder, contract), contract, batch_date, load_timestamp)
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Stage what has arrived and not been staged yet, then stop. One root per stream.
+
+    Valid rows and rejects are two streams, each with its own record of what it has done.
+    """
+    rows = landing_stream(spark, folder, contract)
+    valid, rejected = stage(rows, contract, batch_date, load_timestamp)
+    rejected = rejected.withColumns(
+        {"file_org": F.lit(contract.org), "file_type": F.lit(contract.file_type)}
+    )
     table = STAGING[contract.file_type]
-    sink = rows.writeStream.format("parquet").partitionBy(*table.partition_by)
-    sink = sink.option("path", table.path(root)).option("checkpointLocation", checkpoint)
+    return (
+        _start(valid, table.path(root), table.partition_by, f"{checkpoint}/valid"),
+        _start(rejected, REJECTS.path(root), REJECTS.partition_by, f"{checkpoint}/rejected"),
+    )
+
+
+def _start(
+    rows: DataFrame, path: str, partition_by: Sequence[str], checkpoint: str
+) -> StreamingQuery:
+    sink = rows.writeStream.format("parquet").partitionBy(*partition_by)
+    sink = sink.option("path", path).option("checkpointLocation", checkpoint)
     return sink.trigger(availableNow=True).start()

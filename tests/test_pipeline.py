@@ -185,10 +185,14 @@ def test_rejects_and_quarantine(spark, tmp_path, roots):
     contract = CONTRACTS["basic"].for_org("ail")
     files = first_batch(tmp_path)
     load_file(spark, files["ail", "basic"], contract, staging, D1, at(D1), reject_format="csv")
-    folder = f"{staging}/rejected/org_code=ail/batch_date={D1}/file_type=basic"
+    folder = f"{staging}/rejected/file_org=ail/batch_date={D1}/file_type=basic"
     [reject] = spark.read.option("header", True).csv(folder).collect()
     assert reject.rejection_reason == "null_or_empty: policy_number"
     assert "ssn" not in reject.asDict() and len(reject.ssn_hash) == 64
+    # A row of another organisation keeps its own code among the rejects.
+    load_file(spark, files["lnl", "basic"], CONTRACTS["basic"].for_org("lnl"), staging, D1, at(D1))
+    [stray] = spark.read.parquet(folder.replace("=ail", "=lnl")).collect()
+    assert stray.org_code == "ail" and stray.rejection_reason == "org_code mismatch: expected lnl"
     # Loaded again from a clean file, the old rejects are gone.
     clean = land(tmp_path / "clean", "ail", basic=[basic("P1")])
     load_file(spark, clean["ail", "basic"], contract, staging, D1, at(D1), reject_format="csv")
@@ -201,12 +205,23 @@ def test_rejects_and_quarantine(spark, tmp_path, roots):
     )
     counts = load_file(spark, clean["ail", "basic"], thin, staging, D1, at(D1))
     assert counts == LoadCounts(total=1, valid=0, rejected=0, quarantined=1)
-    assert read_table(spark, STAGING["basic"], staging).count() == 0
+    assert read_table(spark, STAGING["basic"], staging).where("org_code = 'ail'").count() == 0
     [kept] = read_table(spark, STAGING["rejected"], staging).collect()
     assert kept.file_type == "basic" and "missing: policy_status" in kept.rejection_reason
     assert '"policy_number":"P1"' in kept.raw_record and '"111"' not in kept.raw_record
 
 
+def test_amounts_too_big_for_the_table(spark, tmp_path, roots):
+    staging, _ = roots
+    contract = CONTRACTS["premiums"].for_org("ail")
+    lines = [premium("T1", "P1"), premium("T2", "P1", amount="12345678901.00")]
+    files = land(tmp_path / "big", "ail", premiums=lines)
+    with pytest.raises(Exception, match="does not fit premium_amount"):
+        load_file(spark, files["ail", "premiums"], contract, staging, D1, at(D1))
+    counts = load_file(spark, files["ail", "premiums"], contract, staging, D1, at(D1), strict=True)
+    assert counts == LoadCounts(total=2, valid=1, rejected=1)
+
+
 def test_commands(spark, tmp_path, roots):
     staging, mart = roots
     files = first_batch(tmp_path)
@@ -246,16 +261,17 @@ def test_arrivals_are_loaded_once(spark, tmp_path, roots):
     def arrive(name, *lines):
         folder.mkdir(exist_ok=True)
         (folder / name).write_text("\n".join([HEADS["basic"], *lines]) + "\n", encoding="utf-8")
-        stream = load_arrivals(
+        streams = load_arrivals(
             spark, str(folder), contract, staging, D1, at(D1), str(tmp_path / "progress")
         )
-        assert stream.awaitTermination(60)
+        assert all(stream.awaitTermination(60) for stream in streams)
         staged = batch_slice(read_table(spark, STAGING["basic"], staging), D1)
-        return sorted(r.policy_number for r in staged.collect())
+        rejects = spark.read.parquet(f"{staging}/rejected")
+        return sorted(r.policy_number for r in staged.collect()), rejects.count()
 
-    assert arrive("a.csv", basic("P1"), basic("", ssn="2")) == ["P1"]
-    assert arrive("b.csv", basic("P2")) == ["P1", "P2"]
-    assert arrive("c.csv") == ["P1", "P2"]
+    assert arrive("a.csv", basic("P1"), basic("", ssn="2")) == (["P1"], 1)
+    assert arrive("b.csv", basic("P2")) == (["P1", "P2"], 1)
+    assert arrive("c.csv") == (["P1", "P2"], 1)
 
 
 def test_loads_run_side_by_side(spark, tmp_path, roots):
