@@ -47,8 +47,13 @@ def map_columns(df: DataFrame, mapping: ColumnMapping) -> DataFrame:
     return derived.drop(*mapping.dropped).withColumnsRenamed(dict(mapping.renamed))
 
 
+def timestamp(moment: datetime) -> Column:
+    """A timestamp literal; a moment without a zone is in the session's zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+
+
 def add_audit(df: DataFrame, batch_date: date, load_timestamp: datetime) -> DataFrame:
     """Both values are given, never taken from the clock, so a re-run repeats itself."""
     return df.withColumns(
-        {"batch_date": F.lit(batch_date), "load_timestamp": F.lit(load_timestamp)}
+        {"batch_date": F.lit(batch_date), "load_timestamp": timestamp(load_timestamp)}
     )

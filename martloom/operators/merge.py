@@ -157,7 +157,7 @@ def scd2_merge(
     """The whole dimension after the batch. Closed versions bypass the join."""
     is_current = F.col(spec.current)
     step = scd2_step(target.where(is_current), source, spec, batch_date, load_date, **options)
-    return step.unionByName(target.where(~is_current))
+    return step.unionByName(target.where(~is_current | is_current.isNull()))
 
 
 def scd1_upsert(

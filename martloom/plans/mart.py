@@ -41,16 +41,24 @@ from martloom.sources.tables import (
     Table,
     as_nullable,
     batch_slice,
-    committed_folders,
+    child_folders,
     create_table,
     drop_folder,
     empty_rows,
+    is_committed,
     read_table,
     replace_partition,
     seed_table,
 )
 
 BATCH = "batch_date"
+SOURCES = {
+    "dim_policyholder": "basic",
+    "dim_policy": "basic",
+    "dim_address": "address",
+    "dim_payment_method": "bankinfo",
+    "fact_premiums": "premiums",
+}
 SCD2_TABLES: dict[str, Scd2] = {"dim_policyholder": POLICYHOLDER, "dim_policy": POLICY}
 
 
@@ -61,22 +69,22 @@ class BatchOutOfOrder(ValueError):
 # --- the sources of the merges, from one batch of staging rows
 
 
-def policyholder_source(basic: DataFrame, fallback: Sequence[str] = ("policyholder_name",)) -> DataFrame:
-    """One row per person. `fallback` names who has no identifier; a birth date may be added."""
+def policyholder_rows(basic: DataFrame, fallback: Sequence[str] = ("policyholder_name",)) -> DataFrame:
+    """Rows under their business key. `fallback` names who has no identifier: a birth date may be added."""
     key = business_key(F.col("ssn_hash"), [F.col(c) for c in fallback], F.col("match_method"))
-    rows = basic.select(
+    return basic.select(
         key.alias("policyholder_business_key"),
         "org_code",
         "policyholder_name",
         "ssn_hash",
         "effective_date",
     )
-    return latest_per_key(rows, POLICYHOLDER.keys, ["effective_date"])
 
 
-def policy_source(basic: DataFrame) -> DataFrame:
-    rows = basic.select("policy_number", "org_code", "policy_status", "issue_date", "effective_date")
-    return latest_per_key(rows, POLICY.keys, ["issue_date"])
+def policy_rows(basic: DataFrame) -> DataFrame:
+    return basic.select(
+        "policy_number", "org_code", "policy_status", "issue_date", "effective_date"
+    )
 
 
 def premium_source(premiums: DataFrame, batch_date: date, load_date: date) -> DataFrame:
@@ -89,40 +97,45 @@ def premium_source(premiums: DataFrame, batch_date: date, load_date: date) -> Da
 # --- the transforms
 
 
-def _measured(options: dict, staged: DataFrame) -> dict:
-    """The staged rows bound the merge's source from above, and can be measured without a shuffle."""
+def _measured(options: dict, rows: DataFrame) -> dict:
+    """Rows before deduplication bound those after it, and are measured without a shuffle."""
     if options.get("broadcast_source") is None:
-        options = options | {"broadcast_source": fits_broadcast(staged)}
+        options = options | {"broadcast_source": fits_broadcast(rows)}
     return options
 
 
 def merge_policyholders(
     current: DataFrame, basic: DataFrame, batch_date: date, load_date: date, **options
 ) -> DataFrame:
-    options = _measured(options, basic)
-    source = policyholder_source(basic)
+    rows = policyholder_rows(basic)
+    source = latest_per_key(rows, POLICYHOLDER.keys, ["effective_date"])
+    options = _measured(options, rows)
     return scd2_step(current, source, POLICYHOLDER, batch_date, load_date, **options)
 
 
 def merge_policies(
     current: DataFrame, basic: DataFrame, batch_date: date, load_date: date, **options
 ) -> DataFrame:
-    options = _measured(options, basic)
-    return scd2_step(current, policy_source(basic), POLICY, batch_date, load_date, **options)
+    rows = policy_rows(basic)
+    source = latest_per_key(rows, POLICY.keys, ["issue_date"])
+    options = _measured(options, rows)
+    return scd2_step(current, source, POLICY, batch_date, load_date, **options)
 
 
 def merge_addresses(
     target: DataFrame, address: DataFrame, load_date: date, **options
 ) -> DataFrame:
     """The source is not cut to one row per key: two addresses of one type are an error."""
-    return scd1_upsert(target, address, ADDRESS, load_date, **_measured(options, address))
+    rows = address.select(*ADDRESS.keys, *ADDRESS.attributes)
+    return scd1_upsert(target, rows, ADDRESS, load_date, **_measured(options, rows))
 
 
 def merge_payment_methods(
     target: DataFrame, bankinfo: DataFrame, load_date: date, **options
 ) -> DataFrame:
-    options = _measured(options, bankinfo)
-    return scd1_upsert(target, bankinfo, PAYMENT_METHOD, load_date, order=(), **options)
+    rows = bankinfo.select(*PAYMENT_METHOD.keys, *PAYMENT_METHOD.attributes)
+    options = _measured(options, rows)
+    return scd1_upsert(target, rows, PAYMENT_METHOD, load_date, order=(), **options)
 
 
 def new_premiums(
@@ -157,13 +170,8 @@ def seed_organizations(spark: SparkSession, root: str, load_date: date) -> None:
 
 def batches(spark: SparkSession, table: Table, root: str) -> list[date]:
     """The batches whose folder is complete, in order."""
-    return sorted(date.fromisoformat(b) for b in committed_folders(spark, table.path(root), BATCH))
-
-
-def latest_batch(
-    spark: SparkSession, table: Table, root: str, before: date | None = None
-) -> date | None:
-    return max((b for b in batches(spark, table, root) if before is None or b < before), default=None)
+    folders = child_folders(spark, table.path(root), BATCH)
+    return sorted(date.fromisoformat(b) for b, f in folders.items() if is_committed(spark, f))
 
 
 def read_mart(spark: SparkSession, name: str, root: str) -> DataFrame:
@@ -183,16 +191,15 @@ def read_mart(spark: SparkSession, name: str, root: str) -> DataFrame:
     return rows.select(*table.schema.fieldNames())
 
 
-def _state_before(spark: SparkSession, name: str, root: str, batch_date: date) -> DataFrame:
-    """The rows a merge of the batch meets: current versions, or all rows of a type 1 table.
+def _state_after(spark: SparkSession, name: str, root: str, batch: date | None) -> DataFrame:
+    """The rows the next merge meets: current versions, or all rows of a type 1 table.
 
-    Only the folder of the batch before is listed and read.
+    Only the batch's own folder is listed and read.
     """
     table = MART[name]
-    last = latest_batch(spark, table, root, before=batch_date)
-    if last is None:
+    if batch is None:
         return empty_rows(spark, table.schema)
-    folder = f"{table.path(root)}/{BATCH}={last}"
+    folder = f"{table.path(root)}/{BATCH}={batch}"
     rows = spark.read.schema(as_nullable(table.schema)).option("basePath", folder).parquet(folder)
     if name in SCD2_TABLES:
         rows = rows.where(F.col("is_current"))
@@ -209,10 +216,22 @@ def expire_slices(spark: SparkSession, root: str, keep: int = 2) -> None:
             drop_folder(spark, f"{folder}/is_current=true" if name in SCD2_TABLES else folder)
 
 
-def _staged(spark: SparkSession, file_type: str, root: str, batch_date: date) -> DataFrame:
+def _staged(
+    spark: SparkSession, file_type: str, root: str, batch_date: date
+) -> tuple[DataFrame, list[str]]:
+    """The batch's staging rows, and the organisations that have some. Only their folders are listed."""
     table = STAGING[file_type]
-    rows = spark.read.schema(as_nullable(table.schema)).parquet(table.path(root))
-    return batch_slice(rows, batch_date)
+    path = table.path(root)
+    folders = {
+        org: f"{folder}/{BATCH}={batch_date}"
+        for org, folder in child_folders(spark, path, "org_code").items()
+        if is_committed(spark, f"{folder}/{BATCH}={batch_date}")
+    }
+    if not folders:
+        return empty_rows(spark, table.schema), []
+    reader = spark.read.schema(as_nullable(table.schema)).option("basePath", path)
+    rows = reader.parquet(*folders.values())
+    return batch_slice(rows, batch_date), sorted(folders)
 
 
 def _publish(df: DataFrame, name: str, root: str, batch_date: date) -> None:
@@ -225,26 +244,30 @@ def transform_table(
     spark: SparkSession, name: str, staging_root: str, mart_root: str, batch_date: date, load_date: date
 ) -> None:
     """Bring one mart table up to the batch. The tables do not depend on each other."""
-    last = latest_batch(spark, MART[name], mart_root)
-    if last is not None and last > batch_date:
-        raise BatchOutOfOrder(f"{name} already has batch {last}, later than {batch_date}")
+    done = batches(spark, MART[name], mart_root)
+    if done and done[-1] > batch_date:
+        raise BatchOutOfOrder(f"{name} already has batch {done[-1]}, later than {batch_date}")
+    earlier = [b for b in done if b < batch_date]
 
+    staged, orgs = _staged(spark, SOURCES[name], staging_root, batch_date)
     if name == "fact_premiums":
-        before = [b for b in batches(spark, MART[name], mart_root) if b < batch_date]
-        held = _stored(spark, MART[name], mart_root).where(F.col(BATCH).isin(before))
-        staged = _staged(spark, "premiums", staging_root, batch_date)
-        _publish(new_premiums(held, staged, batch_date, load_date), name, mart_root, batch_date)
+        held = _stored(spark, MART[name], mart_root).where(F.col(BATCH).isin(earlier))
+        # With nothing held there is no join to choose a plan for, so nothing is measured.
+        options = {} if earlier else {"broadcast_keys": True}
+        added = new_premiums(held, staged, batch_date, load_date, **options)
+        _publish(added, name, mart_root, batch_date)
         return
 
-    before = _state_before(spark, name, mart_root, batch_date)
+    before = _state_after(spark, name, mart_root, earlier[-1] if earlier else None)
+    options = {} if earlier else {"broadcast_source": False}
+    # Every key holds the organisation: rows of those not in the batch pass by the merge.
+    touched = F.coalesce(F.col("org_code").isin(orgs), F.lit(False))
+    active = before.where(touched)
     if name == "dim_address":
-        staged = _staged(spark, "address", staging_root, batch_date)
-        after = merge_addresses(before, staged, load_date)
+        after = merge_addresses(active, staged, load_date, **options)
     elif name == "dim_payment_method":
-        staged = _staged(spark, "bankinfo", staging_root, batch_date)
-        after = merge_payment_methods(before, staged, load_date)
+        after = merge_payment_methods(active, staged, load_date, **options)
     else:
-        staged = _staged(spark, "basic", staging_root, batch_date)
         merge = merge_policyholders if name == "dim_policyholder" else merge_policies
-        after = merge(before, staged, batch_date, load_date)
-    _publish(after, name, mart_root, batch_date)
+        after = merge(active, staged, batch_date, load_date, **options)
+    _publish(after.unionByName(before.where(~touched)), name, mart_root, batch_date)

@@ -8,7 +8,7 @@ from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 
-from martloom.plans.mart import SCD2_TABLES, create_mart, transform_table
+from martloom.plans.mart import SOURCES, create_mart, transform_table
 from martloom.plans.policy_mart import CONTRACTS
 from martloom.plans.staging import LoadCounts, load_file
 from martloom.sources.contract import Contract
@@ -17,7 +17,7 @@ from martloom.sources.contract import Contract
 CONCURRENT_JOBS = 8
 
 
-def _each(jobs: Iterable[Callable[[], object]]) -> list:
+def side_by_side(jobs: Iterable[Callable[[], object]]) -> list:
     """Run jobs side by side; the first failure is raised once all have ended."""
     with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:
         return [done.result() for done in [pool.submit(job) for job in jobs]]
@@ -40,7 +40,7 @@ def load_batch(
             spark, path, contract, staging_root, batch_date, load_timestamp, **options
         )
 
-    counts = _each(job(org, file_type, path) for (org, file_type), path in files.items())
+    counts = side_by_side(job(org, file_type, path) for (org, file_type), path in files.items())
     return dict(zip(files, counts))
 
 
@@ -49,14 +49,13 @@ def transform_batch(
 ) -> None:
     """Bring every dimension and the facts up to the batch."""
     create_mart(spark, mart_root)
-    names = [*SCD2_TABLES, "dim_address", "dim_payment_method", "fact_premiums"]
-    _each(
+    side_by_side(
         (
             lambda name=name: transform_table(
                 spark, name, staging_root, mart_root, batch_date, load_date
             )
         )
-        for name in names
+        for name in SOURCES
     )
 
 

@@ -21,7 +21,13 @@ from martloom.operators.validate import (
 from martloom.plans.policy_mart import MAPPINGS, MASKS, STAGING
 from martloom.sources.contract import Contract
 from martloom.sources.delimited import scan_delimited
-from martloom.sources.tables import Table, empty_rows, quarantine, replace_partition
+from martloom.sources.tables import (
+    Table,
+    drop_partition,
+    empty_rows,
+    quarantine,
+    replace_partition,
+)
 
 
 # Rows that failed a check, as text. Other columns depend on the file type, which is a folder.
@@ -119,28 +125,28 @@ def load_file(
     table, held = STAGING[contract.file_type], STAGING["rejected"]
     owned = {"org_code": contract.org, "batch_date": batch_date}
     owned_quarantine = owned | {"file_type": contract.file_type}
+    # Rejects keep their own organisation column: it may be what is wrong with them.
+    owned_rejects = {
+        "file_org": contract.org, "batch_date": batch_date, "file_type": contract.file_type
+    }
     diff = schema_diff(staged.schema, table.schema)
     if diff.missing:
         # These cannot become rows of the table: load nothing, but keep them whole.
-        loaded = empty_rows(spark, table.schema)
         reason = f"schema mismatch: {diff}"
         kept = quarantine(
             staged, contract.org, batch_date, contract.file_type, reason, load_timestamp
         )
+        replace_partition(kept, held, root, owned_quarantine)
+        replace_partition(empty_rows(spark, table.schema), table, root, owned)
     else:
-        loaded = conform(staged, table.schema)
-        kept = empty_rows(spark, held.schema)
-    replace_partition(loaded, table, root, owned)
-    replace_partition(kept, held, root, owned_quarantine)
+        replace_partition(conform(staged, table.schema), table, root, owned)
+        drop_partition(spark, held, root, owned_quarantine)
 
     counts = LoadCounts(**seen.get)
-    if not counts.rejected:
-        rejected = rejected.limit(0)
-    # Rejects keep their own organisation column: it may be what is wrong with them.
-    owned_rejects = {
-        "file_org": contract.org, "batch_date": batch_date, "file_type": contract.file_type
-    }
-    replace_partition(rejected, REJECTS, root, owned_rejects, file_format=reject_format)
+    if counts.rejected:
+        replace_partition(rejected, REJECTS, root, owned_rejects, file_format=reject_format)
+    else:
+        drop_partition(spark, REJECTS, root, owned_rejects)
     return replace(counts, valid=0, quarantined=counts.valid) if diff.missing else counts
 
 

@@ -19,7 +19,7 @@ from martloom.plans.mart import (
     new_premiums,
     read_mart,
 )
-from martloom.plans.pipeline import run_batch
+from martloom.plans.pipeline import run_batch, side_by_side
 from martloom.plans.policy_mart import CONTRACTS, MART
 from martloom.plans.staging import stage
 from martloom.queries.landing import BATCHES, LANDINGS, LOADED, ORGS
@@ -310,10 +310,11 @@ _FAULTS_SQL = f"""
 @query(_FAULTS_SQL)
 def mart_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every check on the mart. Premium ids repeat in the given data, and some premiums have no policy."""
-    tables = {
-        "fact_premiums": stored(mart_premiums(spark, sf_dir)),
-        "dim_payment_method": stored(mart_payment_method(spark, sf_dir)),
-        "dim_policy": stored(mart_policy(spark, sf_dir)),
-        "dim_policyholder": stored(mart_policyholder(spark, sf_dir)),
+    made = {
+        "fact_premiums": mart_premiums,
+        "dim_payment_method": mart_payment_method,
+        "dim_policy": mart_policy,
+        "dim_policyholder": mart_policyholder,
     }
-    return mart_faults(tables)
+    tables = side_by_side(lambda make=make: stored(make(spark, sf_dir)) for make in made.values())
+    return mart_faults(dict(zip(made, tables)))

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from martloom.operators.mapping import timestamp
 from martloom.operators.schema import conform
 
 
@@ -39,27 +40,31 @@ def as_nullable(schema: StructType) -> StructType:
     return StructType([type(f)(f.name, f.dataType, True, f.metadata) for f in schema])
 
 
-def committed_folders(spark: SparkSession, path: str, column: str) -> dict[str, str]:
-    """Value to folder, for the folders `column=value` right under `path` whose job has ended.
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path and its file system, for names and marks; data is left to Spark."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    One listing of names, however many files lie in the folders.
-    """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+def child_folders(spark: SparkSession, path: str, column: str) -> dict[str, str]:
+    """Value to folder, for the folders `column=value` right under `path`; one listing of names."""
+    root, files = _path(spark, path)
     if not files.exists(root):
         return {}
-    found = {}
-    for entry in files.listStatus(root):
-        name = entry.getPath().getName()
-        if name.startswith(f"{column}=") and files.exists(hadoop.Path(entry.getPath(), "_SUCCESS")):
-            found[unquote(name.split("=", 1)[1])] = entry.getPath().toString()
-    return found
+    folders = [entry.getPath() for entry in files.listStatus(root)]
+    named = [(f.getName().partition("="), f.toString()) for f in folders]
+    return {unquote(value): folder for (name, _, value), folder in named if name == column}
+
+
+def is_committed(spark: SparkSession, folder: str) -> bool:
+    """Whether the job that wrote the folder has ended well."""
+    mark, files = _path(spark, f"{folder}/_SUCCESS")
+    return files.exists(mark)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, files = _path(spark, path)
+    files.delete(target, True)
 
 
 def empty_rows(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -113,6 +118,11 @@ def _escaped(value: str) -> str:
     )
 
 
+def partition_folder(table: Table, root: str, values: Mapping[str, object]) -> str:
+    names = [f"{column}={_escaped(str(value))}" for column, value in values.items()]
+    return "/".join([table.path(root), *names])
+
+
 def replace_partition(
     df: DataFrame,
     table: Table,
@@ -125,15 +135,20 @@ def replace_partition(
 
     Columns named in `values` are carried by the folder and not written.
     """
-    folder = "/".join(f"{k}={_escaped(str(v))}" for k, v in values.items())
     rows = df.drop(*values).write.format(file_format).option("header", True)
-    # The mark `committed_folders` looks for, whatever the cluster's default.
+    # The mark `is_committed` looks for, whatever the cluster's default.
     rows = rows.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
     rows.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*within).save(
-        f"{table.path(root)}/{folder}"
+        partition_folder(table, root, values)
     )
 
 
+def drop_partition(
+    spark: SparkSession, table: Table, root: str, values: Mapping[str, object]
+) -> None:
+    drop_folder(spark, partition_folder(table, root, values))
+
+
 def replace_touched_partitions(df: DataFrame, table: Table, root: str) -> None:
     """Replace every partition `df` has rows for, in one job; others stay."""
     rows = conform(df, table.schema)
@@ -148,7 +163,7 @@ def seed_table(df: DataFrame, table: Table, root: str) -> None:
 
 
 def quarantine(
-    df: DataFrame, org: str, batch_date: date, file_type: str, reason: str, load_timestamp: object
+    df: DataFrame, org: str, batch_date: date, file_type: str, reason: str, load_timestamp: datetime
 ) -> DataFrame:
     """Whole rows as JSON, NULL fields kept, with the reason they could not be loaded."""
     return df.select(
@@ -157,5 +172,5 @@ def quarantine(
         F.lit(file_type).alias("file_type"),
         F.lit(reason).alias("rejection_reason"),
         F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("raw_record"),
-        F.lit(load_timestamp).cast("timestamp").alias("load_timestamp"),
+        timestamp(load_timestamp).alias("load_timestamp"),
     )

@@ -196,7 +196,8 @@ def test_rejects_and_quarantine(spark, tmp_path, roots):
     # Loaded again from a clean file, the old rejects are gone.
     clean = land(tmp_path / "clean", "ail", basic=[basic("P1")])
     load_file(spark, clean["ail", "basic"], contract, staging, D1, at(D1), reject_format="csv")
-    assert spark.read.option("header", True).csv(folder).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.csv(folder)
 
     # A contract that lacks a column the table needs: nothing is loaded, all is kept as JSON.
     thin = replace(
