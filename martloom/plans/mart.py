@@ -207,11 +207,16 @@ def _state_after(spark: SparkSession, name: str, root: str, batch: date | None)
 
 
 def expire_slices(spark: SparkSession, root: str, keep: int = 2) -> None:
-    """Drop the state of all but the last `keep` batches. History and facts are never dropped."""
+    """Drop the state of all but the last `keep` batches. History and facts are never dropped.
+
+    The batch before the last is needed to run the last one again.
+    """
+    if keep < 2:
+        raise ValueError("the state of the last two batches must be kept")
     for name, table in MART.items():
         if name in ("dim_organization", "fact_premiums"):
             continue
-        for batch in batches(spark, table, root)[: -max(keep, 1)]:
+        for batch in batches(spark, table, root)[:-keep]:
             folder = f"{table.path(root)}/{BATCH}={batch}"
             drop_folder(spark, f"{folder}/is_current=true" if name in SCD2_TABLES else folder)
 

@@ -110,7 +110,7 @@ CUSTOMER_DIM_SQL = _customer_dim_sql(
 
 
 def customer_news(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The latest news of each customer, before the cut and since."""
+    """The latest news of each customer, before the cut and since; written, as merges read it often."""
     news = read(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("customer_id"),
         F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderstatus")).alias("status"),
@@ -121,8 +121,10 @@ def customer_news(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     )
     is_first = F.col("o_orderdate") < F.lit(CUT).cast("timestamp_ntz")
     return tuple(
-        latest_per_key(news.where(part), ["customer_id"], ["o_orderdate", "o_orderkey"]).drop(
-            "o_orderdate", "o_orderkey"
+        stored(
+            latest_per_key(news.where(part), ["customer_id"], ["o_orderdate", "o_orderkey"]).drop(
+                "o_orderdate", "o_orderkey"
+            )
         )
         for part in (is_first, ~is_first)
     )
@@ -203,8 +205,10 @@ def scd2_derived_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     is_first = F.col("o_orderdate") < F.lit(CUT).cast("timestamp_ntz")
     first, second = (
-        latest_per_key(persons.where(part), ["person_key"], ["o_orderdate", "o_orderkey"]).drop(
-            "o_orderdate", "o_orderkey"
+        stored(
+            latest_per_key(persons.where(part), ["person_key"], ["o_orderdate", "o_orderkey"]).drop(
+                "o_orderdate", "o_orderkey"
+            )
         )
         for part in (is_first, ~is_first)
     )

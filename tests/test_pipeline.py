@@ -138,8 +138,8 @@ def test_two_batches(spark, tmp_path, roots):
     # The last batch again, with its files loaded again: the same state.
     run_batch(spark, second_batch(tmp_path), staging, mart, D2, at(D2))
     assert snapshot(spark, mart) == before
-    expire_slices(spark, mart, keep=1)
-    assert snapshot(spark, mart) == before
+    with pytest.raises(ValueError):
+        expire_slices(spark, mart, keep=1)
     with pytest.raises(BatchOutOfOrder):
         transform_batch(spark, staging, mart, D1, D1)
 
@@ -178,6 +178,11 @@ def test_a_batch_that_failed_half_way_is_run_again(spark, tmp_path, roots, monke
     # A batch without files of some organisation, or any rows, keeps what there is.
     run_batch(spark, land(tmp_path / "3", "ail"), staging, mart, D3, at(D3))
     assert len(snapshot(spark, mart)["dim_policy"]) == 6
+    # With the oldest state gone, the last batch can still be run again.
+    before = snapshot(spark, mart)
+    expire_slices(spark, mart)
+    transform_batch(spark, staging, mart, D3, D3)
+    assert snapshot(spark, mart) == before
 
 
 def test_rejects_and_quarantine(spark, tmp_path, roots):
