@@ -46,6 +46,7 @@ from martloom.sources.tables import (
     drop_folder,
     empty_rows,
     is_committed,
+    is_stream_sink,
     read_table,
     replace_partition,
     seed_table,
@@ -227,9 +228,12 @@ def _staged(
     """The batch's staging rows, and the organisations that have some. Only their folders are listed."""
     table = STAGING[file_type]
     path = table.path(root)
+    by_org = child_folders(spark, path, "org_code")
+    if is_stream_sink(spark, path):
+        return batch_slice(read_table(spark, table, root), batch_date), sorted(by_org)
     folders = {
         org: f"{folder}/{BATCH}={batch_date}"
-        for org, folder in child_folders(spark, path, "org_code").items()
+        for org, folder in by_org.items()
         if is_committed(spark, f"{folder}/{BATCH}={batch_date}")
     }
     if not folders:

@@ -11,13 +11,7 @@ from pyspark.sql.types import DataType
 
 from martloom.operators.mapping import add_audit, map_columns, typed_cast
 from martloom.operators.schema import columns, conform, schema_diff
-from martloom.operators.validate import (
-    REASON,
-    load_counts,
-    mask_identifier,
-    split,
-    validate,
-)
+from martloom.operators.validate import load_counts, mask_identifier, split, validate
 from martloom.plans.policy_mart import MAPPINGS, MASKS, STAGING
 from martloom.sources.contract import Contract
 from martloom.sources.delimited import scan_delimited
@@ -153,7 +147,3 @@ def load_file(
 def load_audit(checked: DataFrame, by: str) -> DataFrame:
     """Rows in, loaded and rejected, for each value of `by`; one pass."""
     return checked.groupBy(by).agg(*load_counts())
-
-
-def reject_summary(rejected: DataFrame) -> DataFrame:
-    return rejected.groupBy(REASON).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -9,6 +9,7 @@ from martloom.operators import quality
 from martloom.queries.merges import CUSTOMER, CUSTOMER_DIM_SQL, customer_dim
 from martloom.operators.schema import columns
 from martloom.queries.registry import query, read
+from martloom.sources.scratch import stored
 
 _TABLES = ("customer", "orders", "lineitem", "supplier", "events")
 
@@ -73,11 +74,7 @@ def null_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'c_mktsegment', 'forbidden', count(*) FILTER (c_mktsegment IS NULL) FROM ({_SPARSE_SQL})
     UNION ALL SELECT 'c_phone', 'missing', NULL""")
 def schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = columns(
-    c_custkey="BIGINT NOT NULL",
-    c_name="STRING NOT NULL",
-    c_phone="STRING",
-)
+    wanted = columns(c_custkey="BIGINT NOT NULL", c_name="STRING NOT NULL", c_phone="STRING")
     return quality.column_report(_sparse_customer(spark, sf_dir), wanted, ["c_mktsegment"])
 
 
@@ -114,10 +111,13 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("o_orderkey", F.col("o_custkey").alias("customer_id"), "o_orderdate")
 
 
-@query(f"""
+_ORDERS_WITH_CUSTOMERS = f"""
     SELECT o.o_custkey AS customer_id, o.o_orderkey, o.o_orderdate, d.status, d.priority
     FROM orders o JOIN (SELECT * FROM ({CUSTOMER_DIM_SQL}) WHERE is_current) d
-      ON o.o_custkey = d.customer_id""")
+      ON o.o_custkey = d.customer_id"""
+
+
+@query(_ORDERS_WITH_CUSTOMERS)
 def fact_dim_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = customer_dim(spark, sf_dir)
     return quality.fact_dim_join(
@@ -125,6 +125,16 @@ def fact_dim_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(_ORDERS_WITH_CUSTOMERS)
+def fact_dim_join_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for a dimension too big to broadcast, customers with many orders set apart."""
+    dim = stored(customer_dim(spark, sf_dir))
+    return quality.fact_dim_join(
+        _orders(spark, sf_dir), dim, ["customer_id"], ["status", "priority"],
+        broadcast_right=False, hot_rows=15,
+    )
+
+
 @query("""
     SELECT o_custkey AS customer_id, count(*) AS n_facts FROM orders
     WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) GROUP BY o_custkey""")

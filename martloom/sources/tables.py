@@ -62,6 +62,12 @@ def is_committed(spark: SparkSession, folder: str) -> bool:
     return files.exists(mark)
 
 
+def is_stream_sink(spark: SparkSession, path: str) -> bool:
+    """Whether a stream writes the table; its log, which Spark reads, then says what is committed."""
+    log, files = _path(spark, f"{path}/_spark_metadata")
+    return files.exists(log)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     target, files = _path(spark, path)
     files.delete(target, True)

@@ -260,7 +260,7 @@ def test_seeding_twice(spark, roots):
 
 
 def test_arrivals_are_loaded_once(spark, tmp_path, roots):
-    staging, _ = roots
+    staging, mart = roots
     contract = CONTRACTS["basic"].for_org("ail")
     folder = tmp_path / "arriving"
 
@@ -278,6 +278,9 @@ def test_arrivals_are_loaded_once(spark, tmp_path, roots):
     assert arrive("a.csv", basic("P1"), basic("", ssn="2")) == (["P1"], 1)
     assert arrive("b.csv", basic("P2")) == (["P1", "P2"], 1)
     assert arrive("c.csv") == (["P1", "P2"], 1)
+    # What a stream has staged is transformed like any batch.
+    transform_batch(spark, staging, mart, D1, D1)
+    assert {r[0] for r in snapshot(spark, mart)["dim_policy"]} == {"P1", "P2"}
 
 
 def test_loads_run_side_by_side(spark, tmp_path, roots):
