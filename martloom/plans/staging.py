@@ -6,7 +6,6 @@ from dataclasses import dataclass, replace
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from martloom.operators.mapping import add_audit, map_columns, typed_cast
