@@ -261,25 +261,31 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
             F.flatten(F.collect_list("pieces")).alias("_pieces"),
         )
     )
-    keyed = docs.withColumn("_row_key", F.xxhash64("text", "source"))
-    found = keyed.join(
-        plan, keyed["doc_id"].eqNullSafe(plan["_id"]) & (keyed["_row_key"] == plan["_key"])
+    # The row goes along as one value, so its columns cannot clash with the plan's.
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").alias("id"),
+        F.xxhash64("text", "source").alias("key"),
+    )
+    found = rows.join(
+        plan, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     ).dropDuplicates(["_id", "_key"])
     whole = F.struct(F.lit(0).cast("long").alias("first"), F.col("_size").alias("end"))
     parts = F.concat(F.array_repeat(whole, F.col("_epochs").cast("int")), F.col("_pieces"))
-    out = found.withColumn("_part", F.explode(parts))
-    is_whole = (F.col("_part.first") == 0) & (F.col("_part.end") == F.col("_size"))
+    out = found.withColumn("part", F.explode(parts))
+    text, first, end = F.col("row.text"), F.col("part.first"), F.col("part.end")
+    is_whole = (first == 0) & (end == F.col("_size"))
     # Cut after each word: every piece but the last is white space and one word.
-    cut = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    some = F.array_join(
-        F.slice(cut, (F.col("_part.first") + 1).cast("int"), (F.col("_part.end") - F.col("_part.first")).cast("int")),
-        "",
-    )
+    cut = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    some = F.array_join(F.slice(cut, (first + 1).cast("int"), (end - first).cast("int")), "")
     some = F.regexp_replace(some, r"^[\x20\x09-\x0D]+", "")
-    out = out.withColumn("text", F.when(is_whole, F.col("text")).otherwise(some))
+    changed = {"text": some}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn(
-            "n_chars", F.when(is_whole, F.col("n_chars")).otherwise(F.length("text").cast(kind))
-        )
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.length(some).cast(docs.schema["n_chars"].dataType)
+    columns = [
+        F.when(is_whole, F.col(f"row.`{c}`")).otherwise(changed[c]).alias(c)
+        if c in changed
+        else F.col(f"row.`{c}`").alias(c)
+        for c in docs.columns
+    ]
+    return out.select(*columns)

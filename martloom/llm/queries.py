@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import chat_format, decontamination, mixing, quality_rules, simhash, token_orc
+from martloom.llm import (
+    chat_format,
+    decontamination,
+    language_id,
+    license_scan,
+    line_dedup,
+    mixing,
+    quality_rules,
+    simhash,
+    token_orc,
+    warc_audit,
+)
 from martloom.llm import queries_sql as sql
 from martloom.llm.registry import ORACLES, QUERIES, query
 from martloom.sources.scratch import scratch_dir
@@ -75,3 +86,74 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     token_orc.write_tokens(docs, path, token_orc.default_tokenizer(), END_ID)
     return token_orc.with_crc32(token_orc.read_tokens(spark, path))
+
+
+@query(oracle=sql.LINE_DEDUP)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return line_dedup.digests(docs, line_dedup.keep_bitmaps(docs))
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents and all pages. A document's language column is its declaration, and its
+    source stands for its host; it has no address, hence no suffix."""
+    docs, pages = read(spark, sf_dir, "documents"), read(spark, sf_dir, "pages")
+    langs, model = language_id.train(docs)
+    of_documents = docs.select(
+        "doc_id",
+        F.lit(None).cast("long").alias("page_id"),
+        "text",
+        F.col("lang").alias("declared"),
+        F.coalesce("source", F.lit("")).alias("host"),
+        F.lit("").alias("suffix"),
+    )
+    host = language_id.host_of(F.col("url"))
+    of_pages = pages.select(
+        F.lit(None).cast("long").alias("doc_id"),
+        "page_id",
+        language_id.page_text(F.col("html")).alias("text"),
+        language_id.declared_language(F.col("html")).alias("declared"),
+        host.alias("host"),
+        language_id.suffix_of(host).alias("suffix"),
+    )
+    found = language_id.identify(of_documents.unionByName(of_pages), langs, model)
+    return found.select(
+        "doc_id",
+        "page_id",
+        "host",
+        "declared",
+        "text_lang",
+        "lang",
+        F.round("posterior", 6).alias("posterior"),
+        (F.col("posterior") >= 0.5).alias("kept"),
+    )
+
+
+@query
+def op9_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two replicas of all pages as WARC files; in the second one in fifty records has a wrong
+    last byte, and one in five thousand is lost, which moves what follows in its file."""
+    pages = read(spark, sf_dir, "pages")
+    record = warc_audit.warc_record(F.col("page_id"), F.col("url"), F.col("html"))
+    rotten = F.pmod(F.xxhash64(F.lit("rot"), "page_id"), F.lit(50)) == 0
+    lost = F.pmod(F.xxhash64(F.lit("loss"), "page_id"), F.lit(5000)) == 0
+    damaged = (
+        F.when(lost, "")
+        .when(rotten, F.concat(F.expr("left(record, length(record) - 1)"), F.lit("#")))
+        .otherwise(F.col("record"))
+    )
+    first, second = scratch_dir(spark, "warc"), scratch_dir(spark, "warc")
+    records = pages.select("page_id", record.alias("record"))
+    warc_audit.write_warc(records, first)
+    warc_audit.write_warc(records.withColumn("record", damaged), second)
+    found = warc_audit.audit(
+        warc_audit.record_hashes(spark, first), warc_audit.record_hashes(spark, second)
+    )
+    page_id = F.regexp_extract("record_id", r"^urn:page:(-?\d+)$", 1)
+    return found.withColumn("page_id", F.nullif(page_id, F.lit("")).cast("long"))

@@ -36,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm import groups
 from martloom.llm.components import roots
 from martloom.sources.scratch import stored
 
@@ -196,44 +197,18 @@ def _scan_cells(max_bits: int):
     """Over sorted cells of one partition: (null, root, root) for links, and (cell, fp, root) for
     points of cells that are cut by the partition's bounds or too large."""
 
-    def batch(cell, a, b) -> pa.RecordBatch:
+    def out(cell, a, b) -> pa.RecordBatch:
         cell = pa.nulls(len(a), pa.int64()) if cell is None else pa.array(cell)
         return pa.RecordBatch.from_arrays([cell, pa.array(a), pa.array(b)], names=["cell", "a", "b"])
 
-    def whole(cell, fp, root) -> Iterator[pa.RecordBatch]:
-        if len(cell):
-            keep = _mixed_cells(cell, root)
-            links = _compare_sorted(cell[keep], fp[keep], root[keep], max_bits)
-            if len(links):
-                yield batch(None, links[:, 0].copy(), links[:, 1].copy())
+    def whole(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keep = _mixed_cells(columns[0], columns[2])
+        links = _compare_sorted(*[c[keep] for c in columns], max_bits)
+        if len(links):
+            yield out(None, links[:, 0].copy(), links[:, 1].copy())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 3
-        cut: int | None = None  # a cell whose points are put aside
-        for part in batches:
-            rows = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, part.columns)]
-            cell = rows[0]
-            if not len(cell):
-                continue
-            if cut is None:
-                cut = int(cell[0])  # may have begun in another partition
-            aside = cell == cut
-            if aside.any():
-                yield batch(*[r[aside] for r in rows])
-                rows = [r[~aside] for r in rows]
-                cell = rows[0]
-            if not len(cell):
-                held = rows
-                continue
-            end = int(np.searchsorted(cell, cell[-1]))
-            yield from whole(*[r[:end] for r in rows])
-            held = [r[end:] for r in rows]
-            if len(held[0]) > CELL_ROWS:
-                cut = int(held[0][0])
-                yield batch(*held)
-                held = [np.zeros(0, np.int64)] * 3
-        if len(held[0]):  # may go on in the next partition
-            yield batch(*held)
+        yield from groups.scan(batches, 1, whole, lambda columns: out(*columns), CELL_ROWS)
 
     return run
 
@@ -312,10 +287,13 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS) ->
         F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")
     )
     chosen = chosen.unionByName(nameless.distinct())
-    marked = docs.withColumn("_row_key", F.xxhash64("text"))
-    kept = marked.join(
-        chosen,
-        marked["doc_id"].eqNullSafe(chosen["_id"]) & (marked["_row_key"] == chosen["_key"]),
-        "left_semi",
+    # The row goes along as one value, so its columns cannot clash with those of the join.
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").alias("id"),
+        F.xxhash64("text").alias("key"),
     )
-    return kept.dropDuplicates(["doc_id", "_row_key"]).drop("_row_key")
+    kept = rows.join(
+        chosen, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi"
+    )
+    return kept.dropDuplicates(["id", "key"]).select("row.*")

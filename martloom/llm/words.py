@@ -49,8 +49,9 @@ class Block:
         return len(self.bounds) - 1
 
     def per_row(self, flags: np.ndarray) -> np.ndarray:
-        """How many of a row's bytes are flagged."""
-        before = np.zeros(len(flags) + 1, np.int64)
+        """How many of a row's bytes are flagged, or the sum of their values."""
+        kind = np.float64 if flags.dtype.kind == "f" else np.int64
+        before = np.zeros(len(flags) + 1, kind)
         np.cumsum(flags, out=before[1:])
         return before[self.bounds[1:]] - before[self.bounds[:-1]]
 

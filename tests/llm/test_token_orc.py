@@ -1,0 +1,102 @@
+import pathlib
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow.orc as orc
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from martloom.llm import token_orc as t
+from martloom.llm.queries import END_ID, QUERIES, read
+from martloom.sources.scratch import scratch_dir
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(t.default_tokenizer())
+
+
+def ids_of(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, END_ID]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_query_equals_plain_version(spark, sf_dir, tokenizer):
+    rows = sorted(QUERIES["op10_token_orc"](spark, sf_dir).collect())
+    docs = sorted((r.doc_id, r.text) for r in read(spark, sf_dir, "documents").collect())
+    assert len(rows) == len(docs)
+    start = 0
+    for r, (doc_id, text) in zip(rows, docs):
+        ids = ids_of(tokenizer, text)
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (doc_id, start, len(ids), crc(ids))
+        start += len(ids)
+
+
+def written(spark, docs):
+    path = scratch_dir(spark, "tokens")
+    t.write_tokens(docs, path, t.default_tokenizer(), END_ID)
+    return path
+
+
+def test_odd_rows(spark, make_docs, odd_rows, tokenizer):
+    path = written(spark, make_docs(odd_rows))
+    rows = t.with_crc32(t.read_tokens(spark, path)).collect()
+    expected = Counter((i, len(x), crc(x)) for i, x in ((i, ids_of(tokenizer, s)) for i, s, *_ in odd_rows))
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == expected
+    rows.sort(key=lambda r: r.start)
+    starts = np.cumsum([0, *[r.n_tokens for r in rows]])
+    assert [r.start for r in rows] == starts[:-1].tolist()
+    order = [(r.doc_id is not None, r.doc_id or 0) for r in rows]
+    assert order == sorted(order)
+    assert t.read_tokens(spark, written(spark, make_docs([]))).isEmpty()
+
+
+def test_files_are_pruned_by_metadata(spark, make_docs):
+    path = written(spark, make_docs([(i, f"text number {i}") for i in range(3000)]))
+    files = sorted(pathlib.Path(path.removeprefix("file:")).glob("*.orc"))
+    covers = []
+    for f in files:
+        ids = orc.ORCFile(str(f)).read(["doc_id"])["doc_id"].to_pylist()
+        assert ids == sorted(ids)
+        assert orc.ORCFile(str(f)).compression == "ZSTD"
+        if ids:
+            covers.append((ids[0], ids[-1]))
+    covers.sort()
+    assert all(a[1] < b[0] for a, b in zip(covers, covers[1:]))
+    plan = t.read_tokens(spark, path).where("doc_id = 17")._jdf.queryExecution().toString()
+    assert "EqualTo(doc_id,17)" in plan
+
+
+WHITE = st.sampled_from([" ", "\n", "\t", "\x0b", "\r\n", "  ", " ", " ", ""])
+PIECE = st.one_of(
+    st.text(max_size=6),
+    st.sampled_from(["it's", "'ll", "don't", "<|endoftext|>", "<|startoftext|>", "é", "é", "İ", "Σς", "42", "x́", "́", "…"]),
+)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return t.Encoder(t.default_tokenizer(), by_piece=True)
+
+
+@given(st.lists(st.tuples(PIECE, WHITE), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_pieces_give_what_the_whole_text_gives(tokenizer, encoder, parts):
+    text = "".join(a + b for a, b in parts).encode("utf-8", "ignore").decode()
+    assert encoder.encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_forgetting_changes_nothing(tokenizer, monkeypatch):
+    text = " ".join(f"word{i % 700} other{i % 13}" for i in range(5000))
+    monkeypatch.setattr(t, "REMEMBERED", 50)
+    monkeypatch.setattr(t, "_GROUP", 400)
+    encoder = t.Encoder(t.default_tokenizer(), by_piece=True)
+    assert encoder.encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert t.check_pieces(t.default_tokenizer())
