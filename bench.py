@@ -10,17 +10,19 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 from martloom.queries import QUERIES
 from martloom.queries.landing import BATCHES, LANDINGS
+from martloom.sources.scratch import scratch
 
 PIPELINE = "pipeline_two_batches"
 
 
-def session() -> SparkSession:
+def session(shared: str) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
     return (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -29,25 +31,27 @@ def session() -> SparkSession:
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared)
         .getOrCreate()
     )
 
 
 def run(spark: SparkSession, name: str, sf_dir: str) -> float:
-    start = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with scratch(spark):
+        start = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def landing_rows(spark: SparkSession, sf_dir: str) -> int:
     return sum(x.rows(spark, sf_dir, b).count() for x in LANDINGS.values() for b in BATCHES)
 
 
-def main() -> None:
+def main(shared: str) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     chosen = os.environ.get("BENCH_ONLY")
     names = chosen.split(",") if chosen else list(QUERIES)
-    spark = session()
+    spark = session(shared)
     spark.sparkContext.setLogLevel("ERROR")
     run(spark, "group_counts", sf_dir)
     seconds = {name: round(run(spark, name, sf_dir), 3) for name in names}
@@ -66,4 +70,5 @@ def main() -> None:
 
 
 if __name__ == "__main__":
-    main()
+    with tempfile.TemporaryDirectory(prefix="martloom-bench-") as folder:
+        main(folder)

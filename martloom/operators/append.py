@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from martloom.operators.dedup import first_per_key
 from martloom.operators.sizing import fits_broadcast
-from martloom.operators.skew import unmet_rows
 
 
 def new_facts(
@@ -22,19 +21,19 @@ def new_facts(
 ) -> DataFrame:
     """Distinct batch rows whose key the target does not hold.
 
-    Rows of one batch that share a key but differ are all kept, unless `one_per_key`.
-    The target is read on its key columns only. If the batch's keys are measured small
-    enough they are broadcast and the target is not shuffled; otherwise both meet in a
-    shuffled anti join, in which neither side's hot keys end up in one task.
+    Rows of one batch that share a key but differ are all kept, unless `one_per_key`. The
+    target is read once, on its key columns only. If the batch's keys are measured small (a
+    narrow pass over the key columns) they are broadcast, and the target is not shuffled;
+    otherwise both meet in one anti join, whose left side the engine splits where a key is hot.
     """
     keys = list(keys)
     rows = first_per_key(batch, keys) if one_per_key else batch.distinct()
     held = target.select(*keys)
-    batch_keys = batch.select(*keys).distinct()
     if broadcast_keys is None:
-        broadcast_keys = fits_broadcast(batch_keys)
-    if not broadcast_keys:
-        return unmet_rows(rows, held, keys)
-    # At most the batch's own keys, hence within the same bound.
-    met = held.join(F.broadcast(batch_keys), keys, "left_semi").distinct()
-    return rows.join(F.broadcast(met), keys, "left_anti").select(*batch.columns)
+        # All rows bound the distinct ones, and need no shuffle to be measured.
+        broadcast_keys = fits_broadcast(batch.select(*keys))
+    if broadcast_keys:
+        # At most the batch's own keys, hence within the same bound.
+        met = held.join(F.broadcast(batch.select(*keys)), keys, "left_semi").distinct()
+        held = F.broadcast(met)
+    return rows.join(held, keys, "left_anti").select(*batch.columns)

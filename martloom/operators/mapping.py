@@ -24,9 +24,7 @@ def parse_value(column: ContractColumn, data_type: DataType | None = None) -> Co
 def typed_cast(df: DataFrame, contract: Contract) -> DataFrame:
     """Every contract column of `df` in its contract type."""
     have = set(df.columns)
-    return df.withColumns(
-        {c.name: parse_value(c) for c in contract.columns if c.type != "string" and c.name in have}
-    )
+    return df.withColumns({c.name: parse_value(c) for c in contract.typed() if c.name in have})
 
 
 @dataclass(frozen=True)

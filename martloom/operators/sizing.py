@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, Struct
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 # An estimate is no proof that something is small, but reason enough not to measure it.
-NOT_WORTH_MEASURING = 1000 * BROADCAST_BYTES
+NOT_WORTH_MEASURING = 32 * BROADCAST_BYTES
 UNKNOWN = 2**62
 # Upper estimate for a fixed-width value, or the header of one of variable width.
 SLOT_BYTES = 16

@@ -15,16 +15,15 @@ from pyspark.sql.types import StructField, StructType
 
 from martloom.operators.sizing import fits_broadcast
 
-# A key with this many rows is more than one task should have to join, and at most this many
-# such keys, the hottest, are set apart.
+# A key with this many rows is more than one task should have to join. There are at most as
+# many such keys as there are times as many rows, so they can be gathered.
 HOT_ROWS = 5_000_000
-HOT_KEYS = 1_000
 
 
 def hottest_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """The keys with at least `hot_rows` rows, or None. One job on the keys, counted map-side."""
     counts = df.select(*keys).na.drop().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") >= hot_rows).orderBy(F.col("_n").desc()).limit(HOT_KEYS)
+    hot = counts.where(F.col("_n") >= hot_rows)
     found = [tuple(row[k] for k in keys) for row in hot.collect()]
     if not found:
         return None
@@ -56,20 +55,3 @@ def lookup_join(
     hot_left = left.join(F.broadcast(hot), keys, "left_semi")
     cold_left = left.join(F.broadcast(hot), keys, "left_anti")
     return hot_left.join(F.broadcast(hot_right), keys).unionByName(cold_left.join(right, keys))
-
-
-def unmet_rows(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Left rows whose key the right side lacks. Right keys are cut to one each map-side."""
-    keys = list(keys)
-    right = right.select(*keys)
-    hot = hottest_keys(left, keys, hot_rows)
-    if hot is None:
-        return left.join(right.distinct(), keys, "left_anti")
-    hot_left = left.join(F.broadcast(hot), keys, "left_semi")
-    cold_left = left.join(F.broadcast(hot), keys, "left_anti")
-    # Keys that are both hot and met: no more than there are hot ones.
-    met = right.join(F.broadcast(hot), keys, "left_semi").distinct()
-    hot_unmet = hot_left.join(F.broadcast(met), keys, "left_anti")
-    return hot_unmet.unionByName(cold_left.join(right.distinct(), keys, "left_anti"))

@@ -42,22 +42,22 @@ def cast_check(name: str, contract: Contract, data_type: DataType | None = None)
     column = next(c for c in contract.columns if c.name == name)
     return F.when(
         ~is_blank(F.col(name), contract.blank) & parse_value(column, data_type).isNull(),
-        F.lit(f"invalid_{column.type}: {name}"),
+        F.lit(f"invalid_{column.type.partition('(')[0]}: {name}"),
     )
 
 
 def row_checks(
     contract: Contract,
     *,
-    strict: bool = False,
+    strict: bool = True,
     expected_org: Column | None = None,
     types: Mapping[str, DataType] | None = None,
 ) -> list[Column]:
     """The contract as checks, in order of precedence; each is a reason or NULL.
 
-    Not-null checks come first, then the organisation, then the shapes of dates.
-    `strict` adds impossible dates and unreadable numbers, which would else load as NULL;
-    `types` holds the types of columns whose table is narrower than the contract.
+    Not-null checks come first, then the organisation, then the shapes of dates, then
+    impossible dates and unreadable or too wide numbers. Without `strict` (the literal mode)
+    these last ones are no faults and load as NULL. `types` holds the types of columns whose table is narrower than the contract.
     `expected_org` replaces the contract's organisation where files of several are checked
     in one pass.
     """
@@ -68,8 +68,9 @@ def row_checks(
         checks.append(expected_value_check(contract.org_field, expected_org))
     checks += [date_shape_check(c.name, contract) for c in contract.of_type("date")]
     if strict:
-        typed = contract.of_type("date") + contract.of_type("decimal")
-        checks += [cast_check(c.name, contract, (types or {}).get(c.name)) for c in typed]
+        checks += [
+            cast_check(c.name, contract, (types or {}).get(c.name)) for c in contract.typed()
+        ]
     return checks
 
 
@@ -87,7 +88,7 @@ def standardize(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def validate(df: DataFrame, contract: Contract, *, strict: bool = False, **options) -> DataFrame:
+def validate(df: DataFrame, contract: Contract, *, strict: bool = True, **options) -> DataFrame:
     """Contract rows, names standardised, plus the first reason to reject each, or NULL.
 
     Options as for `row_checks`.
@@ -98,6 +99,28 @@ def validate(df: DataFrame, contract: Contract, *, strict: bool = False, **optio
     return standardize(df, contract).withColumn(REASON, first_reason(checks)).drop(MALFORMED)
 
 
+def mask_marked(
+    df: DataFrame, contract: Contract, salt: str | None = None, elsewhere: Sequence[str] = ()
+) -> DataFrame:
+    """Hide every column the contract marks as personal, in all rows, checks done.
+
+    Text is replaced by its hash. A hash is no date or number: such a column becomes NULL, and
+    its hash a column of its own. Left out are the identifier, which has its own rule, and
+    columns `elsewhere`, which the caller hides.
+    """
+    hidden = {}
+    for column in contract.columns:
+        name = column.name
+        if not column.pii or name == contract.id_field or name in elsewhere:
+            continue
+        hashed = hash_identifier(F.col(name), salt)
+        if column.type == "string":
+            hidden[name] = hashed
+        else:
+            hidden |= {f"{name}_hash": hashed, name: F.lit(None).cast("string")}
+    return df.withColumns(hidden) if hidden else df
+
+
 def mask_identifier(df: DataFrame, contract: Contract, salt: str | None = None) -> DataFrame:
     """Replace the contract's identifier by its hash and the match method."""
     if contract.id_field is None:

@@ -29,6 +29,7 @@ from martloom.operators.schema import conform
 from martloom.operators.sizing import fits_broadcast
 from martloom.plans.policy_mart import (
     ADDRESS,
+    MAPPINGS,
     MART,
     ORGANIZATIONS,
     PAYMENT_METHOD,
@@ -37,6 +38,7 @@ from martloom.plans.policy_mart import (
     PREMIUM_KEY,
     STAGING,
 )
+from martloom.sources.contract import Contract
 from martloom.sources.tables import (
     Table,
     as_nullable,
@@ -70,7 +72,18 @@ class BatchOutOfOrder(ValueError):
 # --- the sources of the merges, from one batch of staging rows
 
 
-def policyholder_rows(basic: DataFrame, fallback: Sequence[str] = ("policyholder_name",)) -> DataFrame:
+NAMED_BY = ("policyholder_name",)
+
+
+def fallback_columns(contract: Contract) -> tuple[str, ...]:
+    """The contract's `match_fallback` as staging columns: first and last name are one there."""
+    renamed = MAPPINGS["basic"].renamed
+    names = {"first_name": "policyholder_name", "last_name": "policyholder_name"}
+    found = [names.get(n, renamed.get(n, n)) for n in contract.match_fallback]
+    return tuple(dict.fromkeys(found)) or NAMED_BY
+
+
+def policyholder_rows(basic: DataFrame, fallback: Sequence[str] = NAMED_BY) -> DataFrame:
     """Rows under their business key. `fallback` names who has no identifier: a birth date may be added."""
     key = business_key(F.col("ssn_hash"), [F.col(c) for c in fallback], F.col("match_method"))
     return basic.select(
@@ -106,9 +119,14 @@ def _measured(options: dict, rows: DataFrame) -> dict:
 
 
 def merge_policyholders(
-    current: DataFrame, basic: DataFrame, batch_date: date, load_date: date, **options
+    current: DataFrame,
+    basic: DataFrame,
+    batch_date: date,
+    load_date: date,
+    fallback: Sequence[str] = NAMED_BY,
+    **options,
 ) -> DataFrame:
-    rows = policyholder_rows(basic)
+    rows = policyholder_rows(basic, fallback)
     source = latest_per_key(rows, POLICYHOLDER.keys, ["effective_date"])
     options = _measured(options, rows)
     return scd2_step(current, source, POLICYHOLDER, batch_date, load_date, **options)
@@ -250,9 +268,19 @@ def _publish(df: DataFrame, name: str, root: str, batch_date: date) -> None:
 
 
 def transform_table(
-    spark: SparkSession, name: str, staging_root: str, mart_root: str, batch_date: date, load_date: date
+    spark: SparkSession,
+    name: str,
+    staging_root: str,
+    mart_root: str,
+    batch_date: date,
+    load_date: date,
+    fallback: Sequence[str] = NAMED_BY,
 ) -> None:
-    """Bring one mart table up to the batch. The tables do not depend on each other."""
+    """Bring one mart table up to the batch. The tables do not depend on each other.
+
+    `fallback` are the staging columns that tell people without identifier apart; see
+    `fallback_columns` for what a contract says. It must not change between batches of a mart.
+    """
     done = batches(spark, MART[name], mart_root)
     if done and done[-1] > batch_date:
         raise BatchOutOfOrder(f"{name} already has batch {done[-1]}, later than {batch_date}")
@@ -261,9 +289,10 @@ def transform_table(
     staged, orgs = _staged(spark, SOURCES[name], staging_root, batch_date)
     if name == "fact_premiums":
         held = _stored(spark, MART[name], mart_root).where(F.col(BATCH).isin(earlier))
-        # With nothing held there is no join to choose a plan for, so nothing is measured.
-        options = {} if earlier else {"broadcast_keys": True}
-        added = new_premiums(held, staged, batch_date, load_date, **options)
+        if earlier:
+            added = new_premiums(held, staged, batch_date, load_date)
+        else:  # nothing is held, so there is nothing to join
+            added = premium_source(staged, batch_date, load_date).distinct()
         _publish(added, name, mart_root, batch_date)
         return
 
@@ -276,7 +305,8 @@ def transform_table(
         after = merge_addresses(active, staged, load_date, **options)
     elif name == "dim_payment_method":
         after = merge_payment_methods(active, staged, load_date, **options)
+    elif name == "dim_policyholder":
+        after = merge_policyholders(active, staged, batch_date, load_date, fallback, **options)
     else:
-        merge = merge_policyholders if name == "dim_policyholder" else merge_policies
-        after = merge(active, staged, batch_date, load_date, **options)
+        after = merge_policies(active, staged, batch_date, load_date, **options)
     _publish(after.unionByName(before.where(~touched)), name, mart_root, batch_date)

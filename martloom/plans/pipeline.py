@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 
-from martloom.plans.mart import SOURCES, create_mart, transform_table
+from martloom.plans.mart import NAMED_BY, SOURCES, create_mart, transform_table
 from martloom.plans.policy_mart import CONTRACTS
 from martloom.plans.staging import LoadCounts, load_file
 from martloom.sources.contract import Contract
@@ -45,14 +45,19 @@ def load_batch(
 
 
 def transform_batch(
-    spark: SparkSession, staging_root: str, mart_root: str, batch_date: date, load_date: date
+    spark: SparkSession,
+    staging_root: str,
+    mart_root: str,
+    batch_date: date,
+    load_date: date,
+    fallback: Sequence[str] = NAMED_BY,
 ) -> None:
     """Bring every dimension and the facts up to the batch."""
     create_mart(spark, mart_root)
     side_by_side(
         (
             lambda name=name: transform_table(
-                spark, name, staging_root, mart_root, batch_date, load_date
+                spark, name, staging_root, mart_root, batch_date, load_date, fallback
             )
         )
         for name in SOURCES
@@ -66,8 +71,9 @@ def run_batch(
     mart_root: str,
     batch_date: date,
     load_timestamp: datetime,
+    fallback: Sequence[str] = NAMED_BY,
     **options,
 ) -> dict[tuple[str, str], LoadCounts]:
     counts = load_batch(spark, files, staging_root, batch_date, load_timestamp, **options)
-    transform_batch(spark, staging_root, mart_root, batch_date, load_timestamp.date())
+    transform_batch(spark, staging_root, mart_root, batch_date, load_timestamp.date(), fallback)
     return counts

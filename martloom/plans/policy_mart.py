@@ -14,7 +14,7 @@ from martloom.sources.tables import Table
 
 def _contract(
     file_type: str,
-    names: str,
+    names: tuple[str, ...],
     unchecked: tuple[str, ...] = (),
     dates: tuple[str, ...] = (),
     decimals: tuple[str, ...] = (),
@@ -27,9 +27,9 @@ def _contract(
         file_type=file_type,
         columns=tuple(
             ContractColumn(n, kinds.get(n, "string"), nullable=n in unchecked, pii=n in pii)
-            for n in names.split()
+            for n in names
         ),
-        not_null=tuple(n for n in names.split() if n not in unchecked),
+        not_null=tuple(n for n in names if n not in unchecked),
         **more,
     )
 
@@ -40,8 +40,10 @@ CONTRACTS: dict[str, Contract] = {
     for c in (
         _contract(
             "basic",
-            "policy_number ssn first_name last_name dob gender policy_type policy_status "
-            "issue_date face_amount org_code",
+            (
+                "policy_number", "ssn", "first_name", "last_name", "dob", "gender", "policy_type",
+                "policy_status", "issue_date", "face_amount", "org_code",
+            ),
             unchecked=("ssn", "gender"),
             dates=("dob", "issue_date"),
             decimals=("face_amount",),
@@ -51,27 +53,35 @@ CONTRACTS: dict[str, Contract] = {
         ),
         _contract(
             "address",
-            "policy_number address_type street1 street2 city state zip effective_date org_code",
+            (
+                "policy_number", "address_type", "street1", "street2", "city", "state", "zip",
+                "effective_date", "org_code",
+            ),
             unchecked=("street2",),
             dates=("effective_date",),
         ),
         _contract(
             "bankinfo",
-            "policy_number bank_name routing_number account_number account_type "
-            "effective_date org_code",
+            (
+                "policy_number", "bank_name", "routing_number", "account_number", "account_type",
+                "effective_date", "org_code",
+            ),
             dates=("effective_date",),
             pii=("account_number",),
         ),
         _contract(
             "premiums",
-            "policy_number transaction_id premium_date amount payment_method status org_code",
+            (
+                "policy_number", "transaction_id", "premium_date", "amount", "payment_method",
+                "status", "org_code",
+            ),
             dates=("premium_date",),
             decimals=("amount",),
         ),
     )
 }
 
-# Columns that hide raw values. Applied before rows are split, so rejects are masked too.
+# Columns that hide raw values. Applied before rows are split, so rejects are masked too.
 MASKS: dict[str, ColumnMapping] = {
     "bankinfo": ColumnMapping(
         derived={
@@ -82,6 +92,7 @@ MASKS: dict[str, ColumnMapping] = {
     ),
 }
 
+# Landing columns to staging columns.
 MAPPINGS: dict[str, ColumnMapping] = {
     "basic": ColumnMapping(
         derived={
@@ -294,7 +305,7 @@ ORGANIZATIONS = (
 )
 ORG_CODES = tuple(row[1] for row in ORGANIZATIONS)
 
-# Merge rules, by natural key.
+# Merge rules, by natural key.
 POLICYHOLDER = Scd2(
     keys=("policyholder_business_key", "org_code"), tracked=("policyholder_name", "ssn_hash")
 )

@@ -18,6 +18,7 @@ from martloom.plans.mart import (
     merge_policyholders,
     new_premiums,
     read_mart,
+    seed_organizations,
 )
 from martloom.plans.pipeline import run_batch, side_by_side
 from martloom.plans.policy_mart import CONTRACTS, MART
@@ -50,6 +51,15 @@ def checked_sql(file_type: str, batch: date) -> str:
         f"THEN 'invalid_date_format: {c.name}'"
         for c in contract.of_type("date")
     ]
+    types = {"face_amount": "DECIMAL(15,2)", "amount": "DECIMAL(12,2)"}
+    dates += [
+        f"WHEN TRY_CAST({c.name} AS DATE) IS NULL THEN 'invalid_date: {c.name}'"
+        for c in contract.of_type("date")
+    ]
+    dates += [
+        f"WHEN TRY_CAST({c.name} AS {types[c.name]}) IS NULL THEN 'invalid_decimal: {c.name}'"
+        for c in contract.of_type("decimal")
+    ]
     org = ["WHEN org_code <> file_org THEN 'org_code mismatch: expected ' || file_org"]
     checks = " ".join([*_FILLED[file_type], *org, *dates])
     return f"SELECT *, CASE {checks} END AS rejection_reason FROM ({rows})"
@@ -282,11 +292,18 @@ def pipeline_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FAULTS_SQL = f"""
-    WITH p AS ({POLICIES_SQL}), h AS ({POLICYHOLDERS_SQL}), m AS ({PAYMENTS_SQL}), f AS ({PREMIUMS_SQL})
+    WITH p AS ({POLICIES_SQL}), h AS ({POLICYHOLDERS_SQL}), m AS ({PAYMENTS_SQL}), f AS ({PREMIUMS_SQL}), a AS ({ADDRESSES_SQL})
     SELECT 'fact_premiums' AS table_name, 'duplicate_key' AS check_name, count(*) AS n_faults
     FROM (SELECT transaction_id FROM f GROUP BY ALL HAVING count(*) > 1)
     UNION ALL SELECT 'fact_premiums', 'orphan_policy', count(*)
     FROM (SELECT DISTINCT policy_number, org_code FROM f ANTI JOIN p USING (policy_number, org_code))
+    UNION ALL SELECT 'fact_premiums', 'unknown_org', count(*)
+    FROM (SELECT DISTINCT org_code FROM f WHERE org_code NOT IN ('ail', 'gl', 'lnl', 'ua'))
+    UNION ALL SELECT 'dim_organization', 'duplicate_key', 0
+    UNION ALL SELECT 'dim_organization', 'column', 0
+    UNION ALL SELECT 'dim_address', 'duplicate_key', count(*)
+    FROM (SELECT 1 FROM a GROUP BY policy_number, org_code, address_type HAVING count(*) > 1)
+    UNION ALL SELECT 'dim_address', 'column', 0
     UNION ALL SELECT 'fact_premiums', 'column', 0
     UNION ALL SELECT 'dim_payment_method', 'duplicate_key', count(*)
     FROM (SELECT policy_number FROM m GROUP BY policy_number, org_code HAVING count(*) > 1)
@@ -313,8 +330,12 @@ def mart_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = {
         "fact_premiums": mart_premiums,
         "dim_payment_method": mart_payment_method,
+        "dim_address": mart_address,
         "dim_policy": mart_policy,
         "dim_policyholder": mart_policyholder,
     }
     tables = side_by_side(lambda make=make: stored(make(spark, sf_dir)) for make in made.values())
-    return mart_faults(dict(zip(made, tables)))
+    root = scratch_dir(spark, "mart")
+    seed_organizations(spark, root, BATCHES[0])
+    organizations = {"dim_organization": read_mart(spark, "dim_organization", root)}
+    return mart_faults(dict(zip(made, tables)) | organizations)

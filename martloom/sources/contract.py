@@ -8,7 +8,16 @@ from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
-from pyspark.sql.types import DataType, DateType, DecimalType, StringType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    TimestampType,
+)
 
 from martloom.functions import WHITESPACE_CLASS
 
@@ -17,7 +26,20 @@ TYPES: dict[str, DataType] = {
     "string": StringType(),
     "date": DateType(),
     "decimal": LANDING_DECIMAL,
+    "int": IntegerType(),
+    "bigint": LongType(),
+    "boolean": BooleanType(),
+    "timestamp": TimestampType(),
 }
+_DECIMAL = re.compile(r"decimal\((\d+),\s*(\d+)\)")
+
+
+def spark_type(name: str) -> DataType | None:
+    """The Spark type a contract means, or None."""
+    sized = _DECIMAL.fullmatch(name)
+    return DecimalType(int(sized[1]), int(sized[2])) if sized else TYPES.get(name)
+
+
 DEFAULT_DATE_FORMAT = "YYYY-MM-DD"
 # Flag column of a scan that looks for rows with too few or too many fields.
 MALFORMED = "_malformed"
@@ -35,7 +57,7 @@ class ContractColumn:
 
     @property
     def spark_type(self) -> DataType:
-        return TYPES[self.type]
+        return spark_type(self.type)
 
     @property
     def date_pattern(self) -> str:
@@ -67,7 +89,7 @@ class Contract:
     blank: str = WHITESPACE_CLASS
 
     def __post_init__(self) -> None:
-        unknown = sorted({c.type for c in self.columns} - TYPES.keys())
+        unknown = sorted({c.type for c in self.columns if spark_type(c.type) is None})
         if unknown:
             raise ValueError(f"{self.file_type}: unknown column types {unknown}")
         undeclared = sorted(set(self.not_null) - set(self.names))
@@ -79,7 +101,13 @@ class Contract:
         return [c.name for c in self.columns]
 
     def of_type(self, type_name: str) -> list[ContractColumn]:
-        return [c for c in self.columns if c.type == type_name]
+        return [c for c in self.columns if c.type.partition("(")[0] == type_name]
+
+    def typed(self) -> list[ContractColumn]:
+        """Columns whose text must be read as something else, dates first."""
+        return sorted(
+            (c for c in self.columns if c.type != "string"), key=lambda c: c.type != "date"
+        )
 
     def for_org(self, org: str) -> Contract:
         return replace(self, org=org)
