@@ -1,5 +1,6 @@
 """Whole batches through files: re-runs, failures, order, rejects, quarantine."""
 
+import os
 from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal
@@ -12,6 +13,7 @@ from martloom.plans.mart import (
     BatchOutOfOrder,
     create_mart,
     expire_slices,
+    fallback_columns,
     read_mart,
     seed_organizations,
 )
@@ -291,3 +293,67 @@ def test_loads_run_side_by_side(spark, tmp_path, roots):
     missing = {("ail", "basic"): str(tmp_path / "none.csv")}
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         load_batch(spark, missing, staging, D1, at(D1))
+
+
+def test_a_late_and_old_file_is_staged(spark, tmp_path, roots):
+    staging, _ = roots
+    contract = CONTRACTS["basic"].for_org("ail")
+    folder = tmp_path / "arriving"
+    folder.mkdir()
+
+    def arrive(**files):
+        for name, (line, age_days) in files.items():
+            path = folder / f"{name}.csv"
+            path.write_text(f"{HEADS['basic']}\n{line}\n", encoding="utf-8")
+            then = path.stat().st_mtime - age_days * 86_400
+            os.utime(path, (then, then))
+        streams = load_arrivals(
+            spark, str(folder), contract, staging, D1, at(D1), str(tmp_path / "progress"), salt="s"
+        )
+        assert all(stream.awaitTermination(60) for stream in streams)
+        return sorted(r.policy_number for r in read_table(spark, STAGING["basic"], staging).collect())
+
+    assert arrive(a=(basic("A1"), 0)) == ["A1"]
+    assert arrive(b=(basic("B1"), 10), c=(basic("C1"), 0)) == ["A1", "B1", "C1"]
+    # Rows of another length are rejects in a stream too.
+    assert arrive(d=(basic("D1") + ",one,two", 0)) == ["A1", "B1", "C1"]
+    reasons = {r.rejection_reason for r in spark.read.parquet(f"{staging}/rejected").collect()}
+    assert reasons == {"malformed_row"}
+
+
+def test_marked_columns_are_hidden_in_rejects_too(spark, tmp_path, roots):
+    staging, _ = roots
+    plain = CONTRACTS["basic"].for_org("ail")
+    marked = replace(
+        plain,
+        columns=tuple(replace(c, pii=c.pii or c.name in ("first_name", "last_name", "dob")) for c in plain.columns),
+    )
+    files = land(tmp_path / "pii", "ail", basic=[basic("P1"), basic("", first="Zoe")])
+    load_file(spark, files["ail", "basic"], marked, staging, D1, at(D1))
+    for path in (f"{staging}/rejected", f"{staging}/stg_basic"):
+        text = str([r.asDict() for r in spark.read.parquet(path).collect()])
+        assert "ZOE" not in text and "ANN" not in text and "LEE" not in text and "1970" not in text
+
+
+def test_people_of_one_name_are_told_apart_by_the_contract(spark, tmp_path, roots):
+    staging, mart = roots
+    files = land(
+        tmp_path / "1", "ail",
+        basic=[basic("P1", ssn="", dob="1970-01-01"), basic("P2", ssn="", dob="1980-01-01")],
+    )
+    fallback = fallback_columns(CONTRACTS["basic"])
+    run_batch(spark, files, staging, mart, D1, at(D1), fallback=fallback)
+    keys = {r.policyholder_business_key for r in read_mart(spark, "dim_policyholder", mart).collect()}
+    assert keys == {"ANN LEE_1970-01-01_NAME_DOB", "ANN LEE_1980-01-01_NAME_DOB"}
+
+
+def test_exit_status():
+    def status(found, *argv):
+        return jobs.exit_status(jobs.arguments(argv), found)
+
+    load = "load --org a --file-type basic --batch-date 2026-03-31 --input i --staging s".split()
+    assert status(0, "check", "--mart", "m") == 0
+    assert status(3, "check", "--mart", "m") == 1
+    assert status(3, *load) == 0
+    assert status(3, *load, "--max-rejects", "3") == 0
+    assert status(4, *load, "--max-rejects", "3") == 1
