@@ -160,3 +160,61 @@ def interval_faults(dim: DataFrame, spec: Scd2) -> DataFrame:
         )
     )
     return counted.select(*spec.keys, "at_date", F.explode(faults).alias("fault"))
+
+
+def content_report(df: DataFrame, expected: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, status) of the rows in which a reference table is not as it should be: missing,
+    unexpected, changed, or repeated. Columns are those of `expected`; NULL equals NULL."""
+    keys, values = list(keys), [c for c in expected.columns if c not in keys]
+
+    def summed(rows: DataFrame, side: str) -> DataFrame:
+        named = [F.col(k).alias(f"{k}_{side}") for k in keys]
+        return rows.groupBy(*named).agg(
+            F.count(F.lit(1)).alias(f"n_{side}"), F.min(F.struct(*values)).alias(f"row_{side}")
+        )
+
+    want, have = summed(expected, "want"), summed(df.select(*expected.columns), "have")
+    on = [F.col(f"{k}_want").eqNullSafe(F.col(f"{k}_have")) for k in keys]
+    met = want.join(have, on, "full_outer")
+    status = (
+        F.when(F.col("n_have").isNull(), "missing")
+        .when(F.col("n_want").isNull(), "unexpected")
+        .when(F.col("n_have") > F.col("n_want"), "repeated")
+        .when(~F.col("row_have").eqNullSafe(F.col("row_want")), "changed")
+    )
+    names = [F.coalesce(f"{k}_want", f"{k}_have").alias(k) for k in keys]
+    return met.select(*names, status.alias("status")).where(F.col("status").isNotNull())
+
+
+def implausible_counts(
+    tables: Mapping[str, DataFrame],
+    bounds: Mapping[str, tuple[int | None, int | None]],
+    ascending: Sequence[tuple[str, str]] = (),
+) -> DataFrame:
+    """(table_name, n_rows, fault) of tables with fewer or more rows than their bounds, or, for
+    pairs of `ascending`, of a table that should have fewer rows than another and does not."""
+    counts = row_counts(tables)
+    checks = [
+        F.when((F.col("table_name") == name) & (F.col("n_rows") < low), F.lit("too_few"))
+        for name, (low, _) in bounds.items()
+        if low is not None
+    ]
+    checks += [
+        F.when((F.col("table_name") == name) & (F.col("n_rows") > high), F.lit("too_many"))
+        for name, (_, high) in bounds.items()
+        if high is not None
+    ]
+    found = counts.withColumn("fault", F.coalesce(*checks, F.lit(None).cast("string")))
+    found = found.where(F.col("fault").isNotNull())
+    for fewer, more in ascending:
+        # Two rows of counts.
+        pair = counts.where(F.col("table_name").isin(fewer, more)).agg(
+            F.max(F.when(F.col("table_name") == fewer, F.col("n_rows"))).alias("n_rows"),
+            F.max(F.when(F.col("table_name") == more, F.col("n_rows"))).alias("other"),
+        )
+        found = found.unionByName(
+            pair.where("n_rows >= other").select(
+                F.lit(fewer).alias("table_name"), "n_rows", F.lit(f"not_below_{more}").alias("fault")
+            )
+        )
+    return found

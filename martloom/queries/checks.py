@@ -183,3 +183,31 @@ def multi_current_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
               WHERE at_date IS NOT NULL""")
 def scd2_interval_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.interval_faults(_faulty_history(spark, sf_dir), CUSTOMER)
+
+
+@query("""
+    SELECT n_nationkey, CASE WHEN n_nationkey = 3 THEN 'missing' WHEN n_nationkey = 105 THEN 'unexpected'
+                             WHEN n_nationkey % 7 = 0 THEN 'changed' ELSE 'repeated' END AS status
+    FROM (SELECT n_nationkey FROM nation UNION ALL SELECT 105)
+    WHERE n_nationkey IN (3, 8, 105) OR n_nationkey % 7 = 0""")
+def reference_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reference table against what it should hold, with faults planted by value."""
+    nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    name = F.when(F.col("n_nationkey") % 7 == 0, F.lower("n_name")).otherwise(F.col("n_name"))
+    held = nation.where("n_nationkey <> 3").withColumn("n_name", name)
+    more = nation.where("n_nationkey = 8").unionByName(
+        nation.where("n_nationkey = 5").withColumn("n_nationkey", F.col("n_nationkey") + 100)
+    )
+    return quality.content_report(held.unionByName(more), nation, ["n_nationkey"])
+
+
+@query("""
+    SELECT 'lineitem' AS table_name, count(*) AS n_rows, 'too_many' AS fault FROM lineitem
+    UNION ALL SELECT 'region', count(*), 'too_few' FROM region
+    UNION ALL SELECT 'orders', count(*), 'not_below_customer' FROM orders""")
+def implausible_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {t: read(spark, sf_dir, t) for t in ("region", "customer", "orders", "lineitem")}
+    bounds = {"region": (6, None), "customer": (1, None), "orders": (1, None), "lineitem": (1, 10)}
+    return quality.implausible_counts(
+        tables, bounds, [("customer", "orders"), ("orders", "lineitem"), ("orders", "customer")]
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +13,10 @@ from martloom.operators.mapping import typed_cast
 from martloom.operators.quality import row_counts
 from martloom.operators.schema import columns
 from martloom.queries.registry import query, read
-from martloom.sources.contract import parse_contract
-from martloom.sources.delimited import scan_delimited
-from martloom.sources.scratch import scratch_dir
+from martloom.sources import catalog
+from martloom.sources.contract import load_contract, parse_contract
+from martloom.sources.delimited import SOURCE_FILE, scan_delimited
+from martloom.sources.scratch import scratch_dir, stored
 from martloom.sources.tables import (
     Table,
     append_rows,
@@ -28,19 +31,18 @@ from martloom.sources.tables import (
     truncate_table,
 )
 
-_LINE_CONTRACT = parse_contract(
-    {
-        "org": "main",
-        "file_type": "orders",
-        "delimiter": "|",
-        "columns": [
-            {"name": "order_number"},
-            {"name": "note"},
-            {"name": "order_date", "type": "date"},
-            {"name": "amount", "type": "decimal"},
-        ],
-    }
-)
+_LINE_DOCUMENT = {
+    "org": "main",
+    "file_type": "orders",
+    "delimiter": "|",
+    "columns": [
+        {"name": "order_number"},
+        {"name": "note"},
+        {"name": "order_date", "type": "date"},
+        {"name": "amount", "type": "decimal"},
+    ],
+}
+_LINE_CONTRACT = parse_contract(_LINE_DOCUMENT)
 _TEXT_ORDERS = {
     "priority": "o_orderpriority",
     "order_number": "CAST(o_orderkey AS STRING)",
@@ -167,3 +169,51 @@ def reset_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
             "reloaded": read_table(spark, _ORDERS, reloaded),
         }
     )
+
+
+@query(f"""
+    SELECT order_number, CAST(amount AS DECIMAL(15,2)) AS amount, priority AS source_folder
+    FROM (SELECT {", ".join(f"{e} AS {n}" for n, e in _TEXT_ORDERS.items())} FROM orders)""")
+def scan_with_source_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Under a contract read from a file; every row knows the file it came from."""
+    path, contract_path = scratch_dir(spark, "delimited"), scratch_dir(spark, "contract")
+    document = spark.createDataFrame([(json.dumps(_LINE_DOCUMENT),)], "value string")
+    document.coalesce(1).write.text(contract_path)
+    rows = read(spark, sf_dir, "orders").selectExpr(*[f"{e} AS {n}" for n, e in _TEXT_ORDERS.items()])
+    folder = F.replace("priority", F.lit(" "), F.lit("_"))
+    rows.withColumn("folder", folder).write.partitionBy("folder").option("header", True).option("sep", "|").csv(path)
+    contract = load_contract(spark, f"{contract_path}/*.txt")
+    found = typed_cast(scan_delimited(spark, f"{path}/*", contract, source_file=True), contract)
+    source = F.regexp_extract(SOURCE_FILE, "folder=([^/]+)/", 1)
+    return found.select("order_number", "amount", F.replace(source, F.lit("_"), F.lit(" ")).alias("source_folder"))
+
+
+@query("""
+    SELECT 'orders' AS table_name, o_orderstatus AS org_code, count(*) AS n_rows,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS amount FROM orders GROUP BY ALL
+    UNION ALL
+    SELECT 'recreated', o_orderstatus, count(*), CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(22,2))
+    FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL""")
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables by name: created, inserted into, one of them dropped and made anew, listed, and
+    dropped with their database once they have been read."""
+    database = f"martloom_{uuid.uuid4().hex}"
+    again = Table("recreated", _ORDERS.schema, _ORDERS.partition_by)
+    orders = _orders(spark, sf_dir, _FIRST)
+    catalog.create_database(spark, database, scratch_dir(spark, "database"))
+    try:
+        catalog.create_tables(spark, database, [_ORDERS, again])
+        for table in (_ORDERS, again):
+            catalog.insert_rows(orders, database, table)
+        catalog.recreate_tables(spark, database, [again])
+        catalog.insert_rows(orders.where(F.col("org_code") == "O"), database, again)
+        parts = [
+            spark.table(catalog.quoted(database, name))
+            .groupBy("org_code")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("amount").alias("amount"))
+            .select(F.lit(name).alias("table_name"), "org_code", "n_rows", "amount")
+            for name in catalog.list_tables(spark, database)
+        ]
+        return stored(parts[0].unionByName(parts[1]))
+    finally:
+        catalog.drop_database(spark, database)
