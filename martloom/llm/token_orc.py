@@ -10,10 +10,10 @@ Every row also holds its writer's number and the ids that writer wrote before it
 finds where a document starts from the sizes of the files before it alone, whatever way files
 are split over tasks.
 
-Text is encoded in pieces between ASCII white space, each distinct piece once per worker while
-it is remembered. That gives what encoding the whole text gives if the tokenizer never joins
-characters across white space, which `check_pieces` tests on a probe before the job starts; if it
-fails, whole texts are encoded.
+Text is encoded in pieces (see `pieces_of`), each distinct piece once per worker while it is
+remembered. That gives what encoding the whole text gives if the tokenizer ignores case and never
+joins characters across the cuts, which `check_pieces` tests on a probe before the job starts; if
+it fails, whole texts are encoded.
 
 Defined cases: a null or empty text has only the end id; null ids come first; rows with the same
 id are ordered by a hash of their text, repeated rows all kept; an empty table gives no rows.
@@ -21,6 +21,8 @@ id are ordered by a hash of their text, repeated rows all kept; an empty table g
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,9 +37,15 @@ from martloom.operators.sizing import fits_broadcast
 STRIPE_BYTES = 32 << 20
 ROW_INDEX = 1_000
 # Distinct pieces a worker remembers.
-REMEMBERED = 500_000
-# Characters encoded at a time: bounds the tokenizer's own memory.
+REMEMBERED = 250_000
+# Bytes of one text, and pieces of several, that are encoded at a time.
 _GROUP = 1 << 20
+_PIECES = 100_000
+# Punctuation at which texts are cut, and which no special token holds.
+_MARKS = [bytes([b]) for b in b".,;:!?#$%&*"]
+_PUNCTUATION = re.compile(rb"([A-Za-z0-9])([.,;:!?#$%&*])")
+_RUNS = re.compile(rb"[^A-Za-z0-9\x80-\xff \t\n\x0b\x0c\r][.,;:!?#$%&*]")
+_ASCII = bytes(range(128))
 
 _SCHEMA = "doc_id {kind}, n_tokens long, part int, before long, tokens array<int>"
 
@@ -48,43 +56,121 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def pieces_of(raw: bytes) -> list[bytes]:
+    """What a text may be cut into without changing its ids: at ASCII white space, and between a
+    letter or digit and common punctuation. ASCII letters are put in lower case, unless something
+    could turn on their case: a special token, or a combining mark that would become one
+    character with the letter."""
+    if b"<|" not in raw and b"\xcc" not in raw and b"\xcd" not in raw:
+        raw = raw.lower()
+    other = raw.translate(None, _ASCII)
+    latin = 2 * other.count(b"\xc3") == len(other) and b"\x97" not in other and b"\xb7" not in other
+    if latin and not _RUNS.search(raw):
+        # Nothing but letters of two bytes beyond ASCII, and no runs of punctuation: every mark
+        # of punctuation follows a letter, a digit or white space.
+        for mark in _MARKS:
+            raw = raw.replace(mark, b" " + mark)
+    else:
+        raw = _PUNCTUATION.sub(rb"\1 \2", raw)
+    return raw.split()
+
+
 class Encoder:
-    """Whole texts to ids, remembering the ids of pieces between white space."""
+    """Whole texts to ids, remembering the ids of pieces."""
 
     def __init__(self, path: str, by_piece: bool):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_piece = by_piece
-        self.known: dict[bytes, list[int]] = {}
+        self._forget()
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _forget(self) -> None:
+        # Piece to its number; the ids of piece i are ids[starts[i]:starts[i + 1]].
+        self.known: dict[bytes, int] = {}
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.starts = np.zeros(1 << 16, np.int64)
 
     def _learn(self, pieces: list[bytes]) -> None:
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known.clear()
         for at in range(0, len(pieces), 10_000):
             part = pieces[at : at + 10_000]
-            self.known.update(zip(part, self._ids([p.decode() for p in part])))
+            encoded = [
+                e.ids
+                for e in self.tokenizer.encode_batch_fast(
+                    [p.decode() for p in part], add_special_tokens=False
+                )
+            ]
+            first = len(self.known)
+            ends = self.starts[first] + np.cumsum([len(x) for x in encoded])
+            if first + len(part) >= len(self.starts):
+                self.starts = np.resize(self.starts, 2 * (first + len(part)))
+            if ends[-1] > len(self.ids):
+                self.ids = np.resize(self.ids, 2 * int(ends[-1]))
+            self.ids[self.starts[first] : ends[-1]] = [i for x in encoded for i in x]
+            self.starts[first + 1 : first + 1 + len(part)] = ends
+            self.known.update(zip(part, range(first, first + len(part))))
+
+    def _lookup(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces end to end, and how many each has."""
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            new = list({p for p, n in zip(pieces, found) if n is None})
+            if len(self.known) + len(new) > REMEMBERED:
+                self._forget()
+                new = list(set(pieces))
+            self._learn(new)
+            found = list(map(self.known.__getitem__, pieces))
+        numbers = np.array(found, np.int64)
+        first = self.starts[numbers]
+        counts = self.starts[numbers + 1] - first
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(first - ends + counts, counts) + np.arange(total)], counts
+
+    def encode_rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and how many each has."""
+        counts = np.zeros(len(texts), np.int64)
+        if not self.by_piece:
+            lists = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+            counts[:] = [len(x) for x in lists]
+            return np.array([i for x in lists for i in x], np.int32), counts
+        out, pieces, owners = [np.zeros(0, np.int32)], [], []
+
+        def settle() -> None:
+            ids, sizes = self._lookup(pieces)
+            out.append(ids)
+            ends = np.append(0, np.cumsum(sizes))
+            at = 0
+            for row, n in owners:
+                counts[row] += ends[at + n] - ends[at]
+                at += n
+            pieces.clear()
+            owners.clear()
+
+        for row, text in enumerate(texts):
+            raw = text.encode()
+            for at, end in _cuts(raw):
+                own = pieces_of(raw[at:end])
+                pieces.extend(own)
+                owners.append((row, len(own)))
+                if len(pieces) > _PIECES:
+                    settle()
+        settle()
+        return np.concatenate(out), counts
 
     def encode(self, text: str) -> list[int]:
-        if not self.by_piece:
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        out: list[int] = []
-        raw = text.encode()
-        for at, end in _cuts(raw):
-            pieces = raw[at:end].split()
-            new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-            if new:
-                self._learn(new)
-            known = self.known
-            try:
-                for p in pieces:
-                    out += known[p]
-            except KeyError:  # forgotten while learning
-                out += [i for ids in self._ids([p.decode() for p in pieces]) for i in ids]
-        return out
+        return self.encode_rows([text])[0].tolist()
+
+
+def encoder_of_worker(path: str, by_piece: bool) -> Encoder:
+    """One encoder per Python worker, which serves many tasks: kept with the library itself, as
+    this module travels to each task anew."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_martloom_encoders", {})
+    if (path, by_piece) not in kept:
+        kept[path, by_piece] = Encoder(path, by_piece)
+    return kept[path, by_piece]
 
 
 def _cuts(raw: bytes) -> Iterator[tuple[int, int]]:
@@ -98,16 +184,17 @@ def _cuts(raw: bytes) -> Iterator[tuple[int, int]]:
         at = end
 
 
-_PROBE = (
+_PROBES = (
     "It's a  TEST, isn't it?\n\tÉté—naïve 42nd 3.14 <|endoftext|> ok no-break   é x́y "
-    "don't 'll ' re 's\x0bq\x0cz\r\nline  İΣΣ end. <| start |> a<|startoftext|>b"
+    "don't 'll ' re 's\x0bq\x0cz\r\nline  İΣΣ end. <| start |> a<|startoftext|>b",
+    "It's A  TEST, isn't IT? Yes!!! a.b,c;d:e!f?g#h$i%j&k*l 3.14,15 x.… … .x \tÉTÉ—Naïve 'S don'T",
 )
 
 
 def check_pieces(path: str) -> bool:
-    """Whether encoding piece by piece gives what encoding the whole does, on a probe."""
-    whole = Encoder(path, by_piece=False).encode(_PROBE)
-    return Encoder(path, by_piece=True).encode(_PROBE) == whole
+    """Whether encoding piece by piece gives what encoding the whole does, on a few probes."""
+    whole, pieces = (Encoder(path, by_piece) for by_piece in (False, True))
+    return all(whole.encode(x) == pieces.encode(x) for x in _PROBES)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
@@ -120,34 +207,26 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(tokenizer, by_piece)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
+        encoder = encoder_of_worker(tokenizer, by_piece)
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = batch.slice(at, 500)
-                ids, ends = [], [0]
-                for text in rows.column(1):
-                    own = encoder.encode(text.as_py())
-                    ids.append(np.array([*own, end_id], np.int32))
-                    ends.append(ends[-1] + len(own) + 1)
-                counts = np.diff(ends)
+                ids, counts = encoder.encode_rows(rows.column(1).to_pylist())
+                ids = np.insert(ids, np.cumsum(counts), end_id)
+                ends = np.append(0, np.cumsum(counts + 1))
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0),
-                        pa.array(counts, pa.int64()),
+                        pa.array(counts + 1),
                         pa.array(np.full(len(counts), part, np.int32)),
-                        pa.array(before + np.array(ends[:-1], np.int64)),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.array(ends, np.int32)),
-                            pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)),
-                        ),
+                        pa.array(before + ends[:-1]),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
                     ],
                     names=["doc_id", "n_tokens", "part", "before", "tokens"],
                 )
-                before += ends[-1]
+                before += int(ends[-1])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     (
