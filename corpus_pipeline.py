@@ -13,11 +13,15 @@ read again as the next stage's docs; all but the last return the columns of docu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.llm import decontamination, mixing, quality_rules, simhash, token_orc
 from martloom.llm.queries import END_ID, read
-from martloom.sources.scratch import scratch_dir, stored
+from martloom.sources.scratch import scratch_dir, stored, use_local_folder
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,12 +46,22 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_orc.with_crc32(token_orc.read_tokens(spark, path))
 
 
+def _runnable(stage: Stage) -> Stage:
+    """The stage, also in a local session that names no shared folder."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        use_local_folder(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_rules", quality_stage),
-    ("simhash_near_dedup", near_dedup_stage),
-    ("decontamination", decontamination_stage),
-    ("source_mixing", mixing_stage),
-    ("token_orc", token_stage),
+    ("quality_rules", _runnable(quality_stage)),
+    ("simhash_near_dedup", _runnable(near_dedup_stage)),
+    ("decontamination", _runnable(decontamination_stage)),
+    ("source_mixing", _runnable(mixing_stage)),
+    ("token_orc", _runnable(token_stage)),
 ]
 
 # Fingerprints and tokenizers are beyond SQL; tests compare with a plain version.
@@ -55,6 +69,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_local_folder(spark)
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))

@@ -9,9 +9,10 @@ are chosen per stratum (the language column) from labelled documents that pass t
    upper bound on the share of good documents the cutoff rejects must not exceed `max_false`.
    If it does, the next looser cutoff is tried; the bound is monotone in the cutoff, so this
    fixed sequence costs no further correction.
-3. Each test is made at level `risk / (strata * rules)` (Bonferroni), so that with probability
-   1 - risk *every* rule of every stratum keeps its bound. A stratum with too few good labelled
-   documents for that certifies nothing and loses nothing but what the base rules reject.
+3. Each test is made at level `risk / proposals` (Bonferroni), the proposals being the pairs of
+   stratum and rule for which the tuning fold found any use, so that with probability 1 - risk
+   *every* rule of every stratum keeps its bound. A stratum with too few good labelled documents
+   for that certifies nothing and loses nothing but what the base rules reject.
 
 Counting is one grouped aggregate over the labelled documents; what the last step sees is a
 table of strata x rules x cutoffs.
@@ -85,7 +86,7 @@ class Risk:
     that any bound fails; `loss_weight`: good documents lost count so many times as much as bad
     ones caught; `stratum`: column whose values are judged apart."""
 
-    max_false: float = 0.01
+    max_false: float = 0.02
     risk: float = 0.05
     loss_weight: float = 10.0
     stratum: str = "lang"
@@ -174,17 +175,27 @@ def certified(false_rejections: int, good: int, max_false: float, level: float)
     return good > 0 and binomial_tail(false_rejections, good, max_false) <= level
 
 
-def choose_cutoff(counts: np.ndarray, level: float, risk: Risk) -> int | None:
-    """Index of the cutoff, from counts[fold (0 tunes, 1 holds out), good, cutoffs exceeded]."""
-    above = counts[..., ::-1].cumsum(-1)[..., ::-1]
-    totals, above = above[..., 0], above[..., 1:]
-    share = above[0] / np.maximum(totals[0], 1)[:, None]
-    gain = share[0] - risk.loss_weight * share[1]
+def _above(counts: np.ndarray) -> np.ndarray:
+    """Documents above each cutoff, from those by number of cutoffs exceeded (last axis)."""
+    return counts[..., ::-1].cumsum(-1)[..., ::-1]
+
+
+def propose_cutoff(tuning: np.ndarray, loss_weight: float) -> int | None:
+    """Index of the best cutoff on the tuning fold, the loosest of equals, from
+    tuning[good, cutoffs exceeded]; None if no cutoff gains anything."""
+    above = _above(tuning)
+    share = above[:, 1:] / np.maximum(above[:, :1], 1)
+    gain = share[0] - loss_weight * share[1]
     best = len(gain) - 1 - int(np.argmax(gain[::-1]))
-    if gain[best] <= 0:
-        return None
-    for j in range(best, len(gain)):
-        if certified(int(above[1, 1, j]), int(totals[1, 1]), risk.max_false, level):
+    return best if gain[best] > 0 else None
+
+
+def certified_cutoff(held: np.ndarray, best: int, max_false: float, level: float) -> int | None:
+    """The tightest cutoff, from the proposed one on, that held[cutoffs exceeded], the good
+    documents of the holdout fold, certify."""
+    above = _above(held)
+    for j in range(best, len(held) - 1):
+        if certified(int(above[j + 1]), int(above[0]), max_false, level):
             return j
     return None
 
@@ -213,29 +224,36 @@ def certified_cutoffs(counts: DataFrame, labels: DataFrame, risk: Risk) -> DataF
         .agg(F.count(F.lit(1)).alias("n"))
     )
     table = stored(table)
-    strata = table.select("stratum").distinct().count()
-    level = risk.risk / max(1, strata * len(risk.rules))
 
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        rule = risk.rules[int(rows["rule"].iloc[0])]
-        counts = np.zeros((2, 2, len(rule.cutoffs) + 1), np.int64)
+    def propose(rows: pd.DataFrame) -> pd.DataFrame:
+        number = int(rows["rule"].iloc[0])
+        counts = np.zeros((2, 2, len(risk.rules[number].cutoffs) + 1), np.int64)
         np.add.at(counts, (rows["fold"], rows["_good"], rows["above"]), rows["n"])
-        j = choose_cutoff(counts, level, risk)
-        if j is None:
-            return pd.DataFrame(columns=["stratum", "rule", "cutoff", "good", "lost"])
-        return pd.DataFrame(
-            {
-                "stratum": [rows["stratum"].iloc[0]],
-                "rule": [rule.name],
-                "cutoff": [float(rule.cutoffs[j])],
-                "good": [int(counts[1, 1].sum())],
-                "lost": [int(counts[1, 1, j + 1 :].sum())],
-            }
-        )
+        best = propose_cutoff(counts[0], risk.loss_weight)
+        found = [] if best is None else [(rows["stratum"].iloc[0], number, best, counts[1, 1])]
+        return pd.DataFrame(found, columns=["stratum", "rule", "best", "held"])
 
     kind = counts.schema["stratum"].dataType.simpleString()
-    return table.groupBy("stratum", "rule").applyInPandas(
-        choose, f"stratum {kind}, rule string, cutoff double, good long, lost long"
+    proposals = stored(
+        table.groupBy("stratum", "rule").applyInPandas(
+            propose, f"stratum {kind}, rule int, best int, held array<long>"
+        )
+    )
+    level = risk.risk / max(1, proposals.count())
+
+    def certify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            found = []
+            for row in rows.itertuples():
+                rule, held = risk.rules[row.rule], np.asarray(row.held)
+                j = certified_cutoff(held, row.best, risk.max_false, level)
+                if j is not None:
+                    lost = int(held[j + 1 :].sum())
+                    found.append((row.stratum, rule.name, rule.cutoffs[j], int(held.sum()), lost))
+            yield pd.DataFrame(found, columns=["stratum", "rule", "cutoff", "good", "lost"])
+
+    return proposals.mapInPandas(
+        certify, f"stratum {kind}, rule string, cutoff double, good long, lost long"
     )
 
 

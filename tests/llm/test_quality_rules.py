@@ -65,15 +65,16 @@ def test_certificate_is_the_exact_binomial_bound(n, p, data):
 
 
 def test_cutoff_keeps_to_what_the_holdout_proves():
-    risk = q.Risk(max_false=0.01)
-    counts = np.zeros((2, 2, 4), int)
-    counts[0, 0] = [5, 0, 0, 95]  # bad documents are far above all cutoffs
-    counts[0, 1] = [900, 80, 20, 0]
-    counts[1, 1] = [900, 80, 20, 0]
-    assert q.choose_cutoff(counts, 0.001, risk) == 2
-    counts[1, 1, 3] = 30  # but the holdout has good ones there
-    assert q.choose_cutoff(counts, 0.001, risk) is None
-    assert q.choose_cutoff(counts // 100, 0.001, risk) is None  # too few to prove anything
+    # Bad documents are far above all cutoffs, good ones above the first two at times.
+    best = q.propose_cutoff(np.array([[5, 0, 0, 95], [900, 80, 20, 0]]), 10)
+    assert best == 2
+    assert q.propose_cutoff(np.array([[95, 0, 0, 5], [900, 80, 0, 20]]), 10) is None
+    held = np.array([900, 80, 20, 0])
+    assert q.certified_cutoff(held, best, 0.01, 0.001) == 2
+    assert q.certified_cutoff(held, 0, 0.05, 0.001) == 1  # looser, as the first loses a tenth
+    held[3] = 30  # the holdout has good ones there
+    assert q.certified_cutoff(held, best, 0.01, 0.001) is None
+    assert q.certified_cutoff(held // 100, best, 0.01, 0.001) is None  # too few to prove anything
 
 
 @pytest.fixture(scope="module")

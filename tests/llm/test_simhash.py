@@ -69,7 +69,9 @@ def dense():
     rng = random.Random(7)
     out = {0, 2**64 - 1}
     for centre in [rng.getrandbits(64) for _ in range(6)]:
-        out |= {centre ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(4))) for _ in range(250)}
+        for _ in range(250):
+            flips = rng.sample(range(64), rng.randrange(4))
+            out.add(centre ^ sum(1 << b for b in flips))
         step = centre
         for _ in range(40):  # each link flips four bits
             for b in rng.sample(range(64), 4):
@@ -92,14 +94,14 @@ def same_parts(found, fps, max_bits):
 
 @pytest.mark.parametrize("max_bits", [0, 3, 4, 5])
 def test_roots_of_dense_groups(spark, dense, max_bits):
-    signed = [(int(np.uint64(x).view(np.int64)),) for x in dense]
+    signed = [(x - 2**64 if x >> 63 else x,) for x in dense]
     found = simhash.fingerprint_roots(spark.createDataFrame(signed, "fp long"), max_bits).collect()
     same_parts({r.fp & (2**64 - 1): r.root for r in found}, dense, max_bits)
 
 
 def test_cells_put_aside_lose_no_link(spark, dense, monkeypatch):
     monkeypatch.setattr(simhash, "CELL_ROWS", 3)
-    signed = [(int(np.uint64(x).view(np.int64)),) for x in dense]
+    signed = [(x - 2**64 if x >> 63 else x,) for x in dense]
     found = simhash.fingerprint_roots(spark.createDataFrame(signed, "fp long")).collect()
     same_parts({r.fp & (2**64 - 1): r.root for r in found}, dense, 4)
 
