@@ -50,6 +50,17 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), F.lit(0)).cast("long")
 
 
+def _ticket(*parts: object) -> Column:
+    """A hash, as 32 hex digits, that any engine can repeat; null counts as empty."""
+    texts = [F.coalesce(p.cast("string"), F.lit("")) if isinstance(p, Column) else F.lit(str(p)) for p in parts]
+    return F.md5(F.concat_ws("|", *texts))
+
+
+def _dealt_to(ticket: Column, n: Column) -> Column:
+    """One of 0 to n - 1, by the ticket's first 60 bits."""
+    return F.conv(F.substring(ticket, 1, 15), 16, 10).cast("long") % n
+
+
 def _targets(totals: DataFrame, mix: Mix) -> DataFrame:
     """(source, source_size, n_docs) -> also sid, weight and target."""
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
@@ -150,13 +161,13 @@ def mixture(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
             F.xxhash64("text", "source").alias("row_key"),
             "source",
             size_of(F.col("text")).alias("size"),
+            _ticket(mix.seed, F.col("doc_id"), F.col("source"), F.col("text")).alias("ticket"),
         )
     )
     totals = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")
     )
     sources = stored(_targets(totals, mix))
-    seeded = F.xxhash64(F.lit(mix.seed), "doc_id", "row_key")
     dealt = rows.join(
         _bounded(sources.select("sid", F.col("source").alias("_source"), "source_size", "n_docs", "target")),
         F.col("source").eqNullSafe(F.col("_source")),
@@ -168,8 +179,8 @@ def mixture(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         "source_size",
         "target",
         "sid",
-        F.pmod(F.xxhash64(F.lit(mix.seed + 1), "doc_id", "row_key"), F.ceil(F.sqrt("n_docs"))).alias("shard"),
-        seeded.alias("_order"),
+        _dealt_to(F.col("ticket"), F.ceil(F.sqrt("n_docs"))).alias("shard"),
+        "ticket",
     )
     shards = (
         dealt.groupBy("sid", "shard")
@@ -199,14 +210,14 @@ def mixture(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     quotas = apportion(shards.join(_bounded(of_source), "sid"), "sid", "shard", "blocks", "seats")
     quotas = quotas.select("sid", "shard", "shard_words", "blocks", "quota")
 
-    listed = Window.partitionBy("sid", "shard").orderBy("_order", "doc_id", "row_key", "size")
+    listed = Window.partitionBy("sid", "shard").orderBy("ticket", "doc_id", "row_key", "size")
     ends = dealt.withColumn(
         "end", F.sum("size").over(listed.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ).withColumn("begin", F.col("end") - F.col("size"))
 
     n = F.greatest("blocks", F.lit(1))
     rest = F.pmod("quota", n)
-    first = F.pmod(F.xxhash64(F.lit(mix.seed + 2), "sid", "shard"), n)
+    first = _dealt_to(_ticket(mix.seed, F.col("sid"), F.col("shard")), n)
 
     def words_before(block: Column) -> Column:
         at = F.floor(block * (F.col("shard_words") / n)).cast("long")

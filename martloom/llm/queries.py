@@ -63,7 +63,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(formatted))
 
 
-@query
+@query(oracle=sql.MIXING)
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"

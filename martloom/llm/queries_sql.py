@@ -54,3 +54,77 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+# Sainte-Laguë by its definition: all quotients, and the highest as many as there are blocks.
+MIXING = r"""
+WITH rows AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+        md5(concat_ws('|', '20260101', coalesce(doc_id::VARCHAR, ''), coalesce(source, ''), coalesce(text, ''))) AS ticket
+    FROM documents
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_docs FROM rows GROUP BY source
+), parties AS (
+    SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS sid,
+        (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM totals
+), before AS (
+    SELECT *, (sum(source_size) OVER ())::BIGINT AS total, (sum(weight) OVER ())::BIGINT AS weights,
+        coalesce(sum(3 * source_size) OVER w, 0)::BIGINT AS cap_before, coalesce(sum(weight) OVER w, 0)::BIGINT AS weight_before
+    FROM parties
+    WINDOW w AS (ORDER BY 3 * source_size / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), capped AS (
+    SELECT *, weight * (total - cap_before) / (weights - weight_before) > 3 * source_size AS is_capped FROM before
+), targets AS (
+    SELECT sid, source, source_size, n_docs, total,
+        CASE WHEN is_capped THEN (3 * source_size)::DOUBLE
+            ELSE weight * (total - (sum(CASE WHEN is_capped THEN 3 * source_size ELSE 0 END) OVER ())::BIGINT)
+                / (sum(CASE WHEN is_capped THEN 0 ELSE weight END) OVER ())::BIGINT END AS target
+    FROM capped
+), dealt AS (
+    SELECT r.*, t.sid, t.source_size, t.target,
+        ('0x' || left(ticket, 15))::BIGINT % ceil(sqrt(t.n_docs))::BIGINT AS shard
+    FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source
+), shards AS (
+    SELECT sid, shard, sum(size)::BIGINT AS shard_words,
+        CASE WHEN sum(size) > 0 THEN greatest(round(sum(size) / 16), 1) ELSE 0 END::BIGINT AS blocks
+    FROM dealt GROUP BY sid, shard
+), source_quotas AS (
+    SELECT sid, count(*) AS quota FROM (
+        SELECT sid FROM (
+            SELECT sid, target / (2 * k + 1) AS quotient, round(total / 16)::BIGINT AS seats
+            FROM targets, range(0, (SELECT round(max(total) / 16)::BIGINT FROM targets)) ks(k)
+            WHERE target > 0 AND k <= target / 16 + 30
+        ) QUALIFY row_number() OVER (ORDER BY quotient DESC, sid) <= seats)
+    GROUP BY sid
+), source_seats AS (
+    SELECT s.sid, least(coalesce(any_value(q.quota), 0), 3 * sum(s.blocks))::BIGINT AS seats
+    FROM shards s LEFT JOIN source_quotas q USING (sid) GROUP BY s.sid
+), shard_quotas AS (
+    SELECT sid, shard, count(*) AS quota FROM (
+        SELECT sid, shard FROM (
+            SELECT s.sid, s.shard, s.blocks / (2 * k + 1) AS quotient, n.seats
+            FROM shards s JOIN source_seats n USING (sid), range(0, (SELECT 3 * max(blocks) + 1 FROM shards)) ks(k)
+            WHERE s.blocks > 0 AND k <= 3 * s.blocks
+        ) QUALIFY row_number() OVER (PARTITION BY sid ORDER BY quotient DESC, shard) <= seats)
+    GROUP BY sid, shard
+), drawn AS (
+    SELECT s.sid, s.shard, s.shard_words, coalesce(q.quota, 0) AS quota, greatest(s.blocks, 1) AS n,
+        ('0x' || left(md5(concat_ws('|', '20260101', s.sid::VARCHAR, s.shard::VARCHAR)), 15))::BIGINT
+            % greatest(s.blocks, 1) AS first_block
+    FROM shards s LEFT JOIN shard_quotas q USING (sid, shard)
+), ranges AS (
+    SELECT sid, shard, quota // n AS epochs,
+        floor(first_block * (shard_words / n))::BIGINT AS from1,
+        CASE WHEN first_block + quota % n >= n THEN shard_words
+            ELSE floor((first_block + quota % n) * (shard_words / n))::BIGINT END AS to1,
+        floor(greatest(first_block + quota % n - n, 0) * (shard_words / n))::BIGINT AS to2
+    FROM drawn
+), placed AS (
+    SELECT *, (sum(size) OVER (PARTITION BY sid, shard ORDER BY ticket, doc_id, size
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS e
+    FROM dealt
+)
+SELECT doc_id, size, source_size, target, (epochs * size
+    + greatest(least(e, to2) - (e - size), 0)
+    + greatest(least(e, to1) - greatest(e - size, from1), 0))::BIGINT AS taken
+FROM placed JOIN ranges USING (sid, shard)
+"""
