@@ -217,7 +217,9 @@ def certified_cutoffs(counts: DataFrame, labels: DataFrame, risk: Risk) -> DataF
             for i, r in enumerate(risk.rules)
         ]
     )
-    fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(2)).cast("int")
+    # Any engine can repeat this hash: the last bit of its first 60.
+    ticket = F.md5(F.concat(F.lit("fold|"), F.col("doc_id").cast("string")))
+    fold = (F.conv(F.substring(ticket, 1, 15), 16, 10).cast("long") % 2).cast("int")
     table = (
         labelled.select("stratum", fold.alias("fold"), "_good", F.inline(figures))
         .groupBy("stratum", "rule", "fold", "_good", "above")

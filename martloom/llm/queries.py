@@ -35,7 +35,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-@query
+@query(oracle=sql.QUALITY_RULES)
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return judged.select(

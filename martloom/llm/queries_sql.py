@@ -128,3 +128,84 @@ SELECT doc_id, size, source_size, target, (epochs * size
     + greatest(least(e, to1) - greatest(e - size, from1), 0))::BIGINT AS taken
 FROM placed JOIN ranges USING (sid, shard)
 """
+
+QUALITY_RULES = r"""
+WITH split AS (
+    SELECT doc_id, lang AS stratum, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+        [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+    FROM documents
+), placed AS (
+    SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM split
+), windows AS (
+    SELECT doc_id, i, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o || ' ' || lead(w, 3) OVER o || ' '
+        || lead(w, 4) OVER o || ' ' || lead(w, 5) OVER o || ' ' || lead(w, 6) OVER o || ' ' || lead(w, 7) OVER o AS key
+    FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), often AS (
+    SELECT doc_id, key FROM windows WHERE key IS NOT NULL GROUP BY doc_id, key HAVING count(*) > 1
+), keyed AS (
+    SELECT doc_id, i, 2 AS n FROM windows JOIN often USING (doc_id, key)
+), repeated AS (
+    SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+    FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM keyed WHERE n > 1) GROUP BY doc_id
+), counts AS (
+    SELECT doc_id, stratum, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+        coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+        length(regexp_replace(text, '[^A-Za-z]', '', 'g'))::BIGINT AS n_letters,
+        length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_upper,
+        length(regexp_replace(text, '[^!]', '', 'g'))::BIGINT AS n_exclaims
+    FROM split LEFT JOIN repeated USING (doc_id)
+), judged AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts
+), rules AS (
+    SELECT * FROM (VALUES
+        (0, 'symbols', [0.05, 0.1, 0.2, 0.3, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0]::DOUBLE[]),
+        (1, 'exclaims', [0.05, 0.1, 0.2, 0.3, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0]::DOUBLE[]),
+        (2, 'upper_case', [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[]),
+        (3, 'repeated_lines', [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[]),
+        (4, 'repeated_words', [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[]),
+        (5, 'long_words', [8, 9, 10, 11, 12, 14, 16, 20, 30, 50]::DOUBLE[])
+    ) v(rule, name, cutoffs)
+), figures AS (
+    SELECT doc_id, stratum, base_failed, unnest([0, 1, 2, 3, 4, 5]) AS rule,
+        unnest([n_symbols / greatest(n_words, 1), n_exclaims / greatest(n_words, 1), n_upper / greatest(n_letters, 1),
+            n_dup_lines / greatest(n_lines, 1), n_repeat_words / greatest(n_words, 1), word_chars / greatest(n_words, 1)]) AS v
+    FROM judged
+), marked AS (
+    SELECT doc_id, max((quality > 0)::INT) AS good,
+        ('0x' || left(md5('fold|' || doc_id::VARCHAR), 15))::BIGINT % 2 AS fold
+    FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), tried AS (
+    SELECT f.stratum, f.rule, c.j, c.cutoff,
+        count(*) FILTER (fold = 0 AND good = 0) AS bad, count(*) FILTER (fold = 0 AND good = 0 AND v > cutoff) AS bad_above,
+        count(*) FILTER (fold = 0 AND good = 1) AS good, count(*) FILTER (fold = 0 AND good = 1 AND v > cutoff) AS good_above,
+        count(*) FILTER (fold = 1 AND good = 1) AS held, count(*) FILTER (fold = 1 AND good = 1 AND v > cutoff) AS held_above
+    FROM figures f JOIN marked USING (doc_id)
+    JOIN (SELECT rule, unnest(range(len(cutoffs))) AS j, unnest(cutoffs) AS cutoff FROM rules) c ON c.rule = f.rule
+    WHERE NOT f.base_failed GROUP BY ALL
+), gains AS (
+    SELECT *, bad_above / greatest(bad, 1) - 10.0::DOUBLE * (good_above / greatest(good, 1)) AS gain FROM tried
+), proposals AS (
+    SELECT stratum, rule, j AS best FROM gains
+    QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, j DESC) = 1 AND gain > 0
+), tails AS (
+    SELECT g.stratum, g.rule, g.cutoff, list_sum([
+        exp(lgamma(held + 1) - lgamma(i + 1) - lgamma(held - i + 1) + i * ln(0.02) + (held - i) * ln(0.98))
+        FOR i IN range(0, held_above + 1)]) AS tail
+    FROM gains g JOIN proposals p ON g.stratum IS NOT DISTINCT FROM p.stratum AND g.rule = p.rule AND g.j >= p.best
+    WHERE g.held > 0
+), cutoffs AS (
+    SELECT stratum, rule, min(cutoff) AS cutoff FROM tails
+    WHERE tail <= 0.05 / (SELECT count(*) FROM proposals) GROUP BY stratum, rule
+), broken AS (
+    SELECT f.doc_id, string_agg(r.name, ',' ORDER BY f.rule) AS names
+    FROM figures f JOIN cutoffs c ON f.stratum IS NOT DISTINCT FROM c.stratum AND f.rule = c.rule JOIN rules r ON r.rule = f.rule
+    WHERE f.v > c.cutoff GROUP BY f.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND names IS NULL AS kept,
+    CASE WHEN base_failed THEN 'base' ELSE coalesce(names, '') END AS failed_rules
+FROM judged LEFT JOIN broken USING (doc_id)
+"""
