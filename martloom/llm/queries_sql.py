@@ -209,3 +209,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     CASE WHEN base_failed THEN 'base' ELSE coalesce(names, '') END AS failed_rules
 FROM judged LEFT JOIN broken USING (doc_id)
 """
+
+
+def _word_table(name: str, key: str, table: str) -> str:
+    """Words by place, with the seven that follow, and the seeds of all masks."""
+    seeds = {0: (0, 1, 3, 4, 5), 1: (0, 1, 3, 5, 6), 2: (0, 1, 2, 5, 7)}
+    parts = " UNION ALL ".join(
+        f"SELECT {key}, i, {mask} AS mask, {" || '|' || ".join(f'w{p}' for p in places)} AS seed "
+        f"FROM {name} WHERE w{places[-1]} IS NOT NULL"
+        for mask, places in seeds.items()
+    )
+    following = ", ".join(f"lead(w0, {p}) OVER o AS w{p}" for p in range(1, 8))
+    return rf"""
+{name} AS (
+    SELECT {key}, i, w0, {following} FROM (
+        SELECT {key}, unnest(words) AS w0, generate_subscripts(words, 1) - 1 AS i FROM (
+            SELECT {key}, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM {table}))
+    WINDOW o AS (PARTITION BY {key} ORDER BY i)
+), {name}_seeds AS ({parts})"""
+
+
+DECONTAMINATION = rf"""
+WITH {_word_table("doc", "doc_id", "documents")}, {_word_table("item", "item_id", "benchmark")},
+hits AS (
+    SELECT DISTINCT doc_id, item_id, d.i - m.i AS diagonal FROM doc_seeds d JOIN item_seeds m USING (mask, seed)
+), laid AS (
+    SELECT h.doc_id, h.item_id, h.diagonal, list((d.w0 = m.w0)::INT ORDER BY m.i) AS equal
+    FROM hits h JOIN item m ON m.item_id = h.item_id
+    JOIN doc d ON d.doc_id = h.doc_id AND d.i = m.i + h.diagonal
+    GROUP BY ALL
+), sized AS (
+    SELECT l.*, n AS n_item_words, least(n, 13) AS width
+    FROM laid l JOIN (SELECT item_id, count(*) AS n FROM item GROUP BY item_id) USING (item_id)
+), best AS (
+    SELECT *, list_max([list_sum(equal[s:s + width - 1]) FOR s IN range(1, len(equal) - width + 2)]) / width AS best_window
+    FROM sized WHERE len(equal) >= width
+)
+SELECT doc_id, item_id, greatest(diagonal, 0)::BIGINT AS first_word, list_sum(equal)::BIGINT AS n_equal,
+    n_item_words::BIGINT AS n_item_words, best_window::DOUBLE AS best_window
+FROM best WHERE best_window >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, best_window DESC, first_word) = 1
+"""
