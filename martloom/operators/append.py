@@ -25,11 +25,14 @@ def new_facts(
     target is read once, on its key columns only. If the batch's keys are measured small (a
     narrow pass over the key columns) they are broadcast, and the target is not shuffled;
     otherwise both meet in one anti join, whose left side the engine splits where a key is hot.
+    `broadcast_keys=False` asks for a shuffled join whatever the engine thinks of the sizes.
     """
     keys = list(keys)
     rows = first_per_key(batch, keys) if one_per_key else batch.distinct()
     held = target.select(*keys)
-    if broadcast_keys is None:
+    if broadcast_keys is False:
+        held = held.hint("merge")
+    elif broadcast_keys is None:
         # All rows bound the distinct ones, and need no shuffle to be measured.
         broadcast_keys = fits_broadcast(batch.select(*keys))
     if broadcast_keys:

@@ -39,19 +39,25 @@ def lookup_join(
     broadcast_right: bool | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Inner join of many rows with a table that has about one row per key."""
+    """Inner join of many rows with a table that has about one row per key.
+
+    With `broadcast_right=False` the table as a whole is never broadcast, whatever the engine
+    thinks of its size; only its rows for hot keys are, where they are measured small.
+    """
     keys = list(keys)
+    asked = broadcast_right is False
     if broadcast_right is None:
         broadcast_right = fits_broadcast(right)
     if broadcast_right:
         return left.join(F.broadcast(right), keys)
 
     hot = hottest_keys(left, keys, hot_rows)
+    rest = right.hint("merge") if asked else right
     if hot is None:
-        return left.join(right, keys)
+        return left.join(rest, keys)
     hot_right = right.join(F.broadcast(hot), keys, "left_semi")
     if not fits_broadcast(hot_right):
-        return left.join(right, keys)
+        return left.join(rest, keys)
     hot_left = left.join(F.broadcast(hot), keys, "left_semi")
     cold_left = left.join(F.broadcast(hot), keys, "left_anti")
-    return hot_left.join(F.broadcast(hot_right), keys).unionByName(cold_left.join(right, keys))
+    return hot_left.join(F.broadcast(hot_right), keys).unionByName(cold_left.join(rest, keys))

@@ -9,8 +9,10 @@ from martloom.operators.append import new_facts
 from martloom.operators.merge import Scd1, Scd2, scd1_upsert, scd2_merge
 from martloom.operators.quality import orphans
 from martloom.operators.schema import columns
+from martloom.operators.skew import lookup_join
 from martloom.plans.policy_mart import CONTRACTS
 from martloom.plans.staging import stage
+from martloom.queries import QUERIES
 from martloom.sources.delimited import scan_delimited
 
 DAY = date(2026, 3, 31)
@@ -88,3 +90,22 @@ def test_orphans_count_before_they_shuffle(spark, dim, batch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.index("LeftAnti") < plan.index("partial_count(1)")
+
+
+def test_facts_meet_in_one_anti_join(dim, batch):
+    plan = plan_of(new_facts(batch, dim, ["k"], broadcast_keys=False))
+    assert plan.count("Join") == 1 and "SortMergeJoin" in plan and "LeftAnti" in plan
+    assert plan.count("FileScan") == 2 and "ReadSchema: struct<k:bigint>" in plan
+
+
+def test_a_lookup_that_must_not_be_broadcast_is_not(dim, batch):
+    plan = plan_of(lookup_join(batch, dim.select("k", "is_current"), ["k"], broadcast_right=False))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    # Hot keys, here all of them, are joined by broadcast beside the rest.
+    plan = plan_of(lookup_join(batch, dim.select("k", "is_current"), ["k"], broadcast_right=False, hot_rows=1))
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") >= 3
+
+
+@pytest.mark.parametrize("name", ["append_new_facts_shuffled", "fact_dim_join_hot_keys"])
+def test_queries_run_the_plan_they_are_named_for(spark, name):
+    assert "SortMergeJoin" in plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
