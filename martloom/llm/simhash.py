@@ -267,8 +267,10 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS)
     rows = stored(fingerprints(docs, k))
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = fingerprint_roots(rows, max_bits)
-    named = found.join(least, "fp")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = stored(found.join(least, "fp"))
+    # Written first, so that both sides of the join are plain shuffles and a root with very many
+    # fingerprints is split.
+    ids = stored(named.groupBy("root").agg(F.min("least").alias("component_id")))
     named = stored(named.select("fp", "root").join(ids, "root").select("fp", "component_id"))
     return rows.join(named, "fp").select("doc_id", "row_key", "fp", "component_id")
 
