@@ -15,8 +15,9 @@ which passes over the documents' hashed words.
 
 Defined cases: a null or empty text has no words and holds nothing; items of fewer words than
 the shortest mask spans are too short to tell and match nothing; null ids are ids like any other
-(pairs of a null id are one pair); repeated rows count as one document or item, of which the best
-overlap is reported; other columns are ignored.
+(pairs of a null id are one pair); a document is known by its id and a hash of its whole text, so
+texts that share an id are compared and removed apart, and only the report puts them together, with
+their best overlap; repeated rows count as one document or item; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -88,7 +89,7 @@ def _best_window(equal: Column, width: Column) -> Column:
 
 
 def _block_matches(hashed: DataFrame, items: DataFrame, how: Overlap) -> DataFrame:
-    """Verified (doc_id, item_id, diagonal, ...) of one block of items."""
+    """Verified (doc_id, row_key, item_id, first_word, ...) of one block of items."""
     seeds = _seeds(items, "item_words", "item_at", how.masks).select(
         "seed", "item_key", "item_at", F.size("item_words").alias("item_n")
     )
@@ -99,15 +100,17 @@ def _block_matches(hashed: DataFrame, items: DataFrame, how: Overlap) -> DataFra
         .join(F.broadcast(seeds), "seed")
         .select(
             "doc_id",
+            "row_key",
             "item_key",
             diagonal.alias("diagonal"),
             F.slice("words", F.greatest(diagonal, F.lit(0)) + 1, F.col("item_n")).alias("d"),
         )
-        .groupBy("doc_id", "item_key", "diagonal")
+        .groupBy("doc_id", "row_key", "item_key", "diagonal")
         .agg(F.first("d").alias("d"))
     )
     laid = hits.join(F.broadcast(items), "item_key").select(
         "doc_id",
+        "row_key",
         "item_id",
         "diagonal",
         F.size("item_words").alias("item_words_n"),
@@ -127,6 +130,7 @@ def _block_matches(hashed: DataFrame, items: DataFrame, how: Overlap) -> DataFra
         .where(F.col("best") >= how.similarity)
         .select(
             "doc_id",
+            "row_key",
             "item_id",
             F.greatest("diagonal", F.lit(0)).cast("long").alias("first_word"),
             F.aggregate("equal", F.lit(0), lambda n, x: n + x).cast("long").alias("n_equal"),
@@ -136,10 +140,12 @@ def _block_matches(hashed: DataFrame, items: DataFrame, how: Overlap) -> DataFra
     )
 
 
-def leaks(docs: DataFrame, items: DataFrame, how: Overlap = Overlap()) -> DataFrame:
-    """(doc_id, item_id, first_word, n_equal, n_item_words, best_window) of every document that
-    holds a passage of an item; of several places the one with the most equal words."""
-    hashed = docs.select("doc_id", word_hashes(F.col("text")).alias("words"))
+def _matches(docs: DataFrame, items: DataFrame, how: Overlap) -> DataFrame:
+    """Verified (doc_id, row_key, item_id, first_word, ...) of all items; `row_key` is a hash of
+    the document's whole text."""
+    hashed = docs.select(
+        "doc_id", F.xxhash64("text").alias("row_key"), word_hashes(F.col("text")).alias("words")
+    )
     prepared = items.select("item_id", word_hashes(F.col("text")).alias("item_words")).distinct()
     prepared = stored(prepared.withColumn("item_key", F.xxhash64("item_id", "item_words")))
     n_words = prepared.agg(F.sum(F.size("item_words"))).first()[0] or 0
@@ -153,8 +159,15 @@ def leaks(docs: DataFrame, items: DataFrame, how: Overlap = Overlap()) -> DataFr
             part = prepared.where(F.pmod("item_key", F.lit(n_blocks)) == block)
         matches = _block_matches(hashed, part, how)
         found = matches if found is None else found.unionByName(matches)
+    return found
+
+
+def leaks(docs: DataFrame, items: DataFrame, how: Overlap = Overlap()) -> DataFrame:
+    """(doc_id, item_id, first_word, n_equal, n_item_words, best_window) of every document that
+    holds a passage of an item; of several places the one with the most equal words."""
     return (
-        found.groupBy("doc_id", "item_id")
+        _matches(docs, items, how)
+        .groupBy("doc_id", "item_id")
         .agg(
             F.max(
                 F.struct("n_equal", "best", (-F.col("first_word")).alias("back"), "n_item_words")
@@ -173,5 +186,10 @@ def leaks(docs: DataFrame, items: DataFrame, how: Overlap = Overlap()) -> DataFr
 
 def decontaminated(docs: DataFrame, items: DataFrame, how: Overlap = Overlap()) -> DataFrame:
     """The rows of `docs` that hold no passage of an item, with all their columns."""
-    held = leaks(docs, items, how).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, docs["doc_id"].eqNullSafe(held["_held"]), "left_anti")
+    held = _matches(docs, items, how)
+    held = held.select(F.col("doc_id").alias("_held"), F.col("row_key").alias("_key")).distinct()
+    return docs.join(
+        held,
+        docs["doc_id"].eqNullSafe(held["_held"]) & (F.xxhash64(docs["text"]) == held["_key"]),
+        "left_anti",
+    )

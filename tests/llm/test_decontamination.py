@@ -104,3 +104,21 @@ def test_clean_documents_stay(spark, make_docs, planted, odd_rows):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert d.leaks(frame, empty).isEmpty()
     assert d.leaks(make_docs([]), benchmark).isEmpty()
+
+
+def test_texts_that_share_an_id_are_told_apart(spark, make_docs):
+    item = [f"w{i}" for i in range(20)]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    leak = " ".join(item)
+    # The same diagonal, hit by a seed only: two words of three differ beyond the first six.
+    chance = " ".join([*item[:6], *[w if i % 3 == 0 else f"x{i}" for i, w in enumerate(item[6:])]])
+    clean = "nothing of any benchmark stands in this text at all"
+    # Chance hits first and last in each id, over several partitions.
+    rows = [(i, t) for i in (None, 7) for t in [*[f"{chance} {k}" for k in range(40)], leak, clean]]
+    rows += [(None, f"{chance} z"), (7, f"{chance} z"), (None, None), (7, None)]
+    frame = make_docs(rows)
+    assert rows_of(d.leaks(frame, benchmark)) == {(None, 1): 20, (7, 1): 20}
+    assert rows_of(d.leaks(frame.coalesce(1), benchmark)) == {(None, 1): 20, (7, 1): 20}
+    kept = [(r.doc_id, r.text) for r in d.decontaminated(frame, benchmark).collect()]
+    order = lambda r: (r[0] or 0, r[1] or "")
+    assert sorted(kept, key=order) == sorted((r for r in rows if r[1] != leak), key=order)
