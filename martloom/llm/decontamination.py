@@ -2,7 +2,9 @@
 
 Words of every text are hashed, and a few fixed masks are laid over every position. A mask names
 the words it looks at and ignores those between, so a hit survives substitutions at the ignored
-places, and with several masks a passage with one word in five replaced is still hit somewhere.
+places. The masks together hit every passage that the rule below admits: from eight words on the
+first three do, for six and seven words it takes all of them. Items of up to five words are one
+seed each, and must stand word for word.
 Seeds of the items meet the seeds of the documents in one join. Around each hit item and document
 are laid over each other on the hit's diagonal, and compared word by word: the document holds the
 item if some window of `window` words of the item (or all of a shorter item) has at least
@@ -13,8 +15,8 @@ generated code, and only found pairs are shuffled. The items are the query set.
 `SEEDS_PER_PASS` words' worth are broadcast at once; a larger set is dealt into blocks, each of
 which passes over the documents' hashed words.
 
-Defined cases: a null or empty text has no words and holds nothing; items of fewer words than
-the shortest mask spans are too short to tell and match nothing; null ids are ids like any other
+Defined cases: a null or empty text has no words, holds nothing and is held by nothing; an item of
+one word is held by every document with that word; null ids are ids like any other
 (pairs of a null id are one pair); a document is known by its id and a hash of its whole text, so
 texts that share an id are compared and removed apart, and only the report puts them together, with
 their best overlap; repeated rows count as one document or item; other columns are ignored.
@@ -32,7 +34,14 @@ from martloom.sources.scratch import stored
 # Lower-cased words: digits, ASCII letters and everything beyond ASCII.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # 1: the word counts, 0: it is ignored.
-MASKS = ("110111", "1101011", "11100101")
+MASKS_OF_LONG = ("110111", "1101011", "11100101")
+# With these, also windows of six and seven words are hit wherever a word is replaced.
+MASKS_OF_SHORT = ("11111", "101111", "111011", "111101")
+MASKS = MASKS_OF_LONG + MASKS_OF_SHORT
+# Windows of so many words and more do without MASKS_OF_SHORT.
+LONG = 8
+# Items of up to so many words are compared whole and exactly.
+EXACT = 5
 # Words of the items whose seeds one pass broadcasts: about 24 bytes for each word and mask,
 # and 8 for the item's own words, so some 40 MB.
 SEEDS_PER_PASS = 400_000
@@ -45,6 +54,15 @@ class Overlap:
     masks: tuple[str, ...] = MASKS
 
 
+def masks_of(n_words: int, how: Overlap) -> tuple[str, ...]:
+    """The masks that hit an item of `n_words` words wherever `how` admits other words."""
+    if n_words <= EXACT:
+        return ("1" * n_words,) if n_words else ()
+    if min(n_words, how.window) < LONG:
+        return how.masks
+    return tuple(m for m in how.masks if m not in MASKS_OF_SHORT)
+
+
 def word_hashes(text: Column) -> Column:
     """Hashes of the words of a whole text; null counts as empty."""
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD)
@@ -57,7 +75,7 @@ def _rotated(word: Column, by: int) -> Column:
 
 def _seeds(texts: DataFrame, hashes: str, position: str, masks: tuple[str, ...]) -> DataFrame:
     """One row per position and mask, with its `seed`: the words a mask picks, each turned by its
-    place, and the mask's number. Plain bit operations keep the generated code small enough to
+    place, and the mask as a number. Plain bit operations keep the generated code small enough to
     be compiled, which hash functions of many arguments do not."""
     span = min(len(m) for m in masks)
     at = texts.withColumn(
@@ -69,8 +87,8 @@ def _seeds(texts: DataFrame, hashes: str, position: str, masks: tuple[str, ...])
     used = sorted({i for m in masks for i, bit in enumerate(m) if bit == "1"})
     at = at.select("*", *[F.get(hashes, F.col(position) + i).alias(f"_w{i}") for i in used])
     seeds = []
-    for number, mask in enumerate(masks):
-        seed = F.lit(number).cast("long")
+    for mask in masks:
+        seed = F.lit(int(f"1{mask}", 2)).cast("long")
         for place, i in enumerate(i for i, bit in enumerate(mask) if bit == "1"):
             seed = seed.bitwiseXOR(_rotated(F.col(f"_w{i}"), 11 * place + 1))
         seeds.append(seed)  # null where the mask reaches beyond the end
@@ -88,15 +106,24 @@ def _best_window(equal: Column, width: Column) -> Column:
     )
 
 
-def _block_matches(hashed: DataFrame, items: DataFrame, how: Overlap) -> DataFrame:
-    """Verified (doc_id, row_key, item_id, first_word, ...) of one block of items."""
-    seeds = _seeds(items, "item_words", "item_at", how.masks).select(
-        "seed", "item_key", "item_at", F.size("item_words").alias("item_n")
-    )
+def _block_matches(
+    hashed: DataFrame, items: DataFrame, lengths: dict[tuple[str, ...], list[int]], how: Overlap
+) -> DataFrame:
+    """Verified (doc_id, row_key, item_id, first_word, ...) of one block of items; `lengths` are
+    the items' numbers of words, by the masks that these take, the last one standing for more."""
+    item_n = F.size("item_words")
+    seeds = None
+    for masks, ns in lengths.items():
+        own = items.where(F.least(item_n, F.lit(LONG)).isin(ns))
+        own = _seeds(own, "item_words", "item_at", masks).select(
+            "seed", "item_key", "item_at", item_n.alias("item_n")
+        )
+        seeds = own if seeds is None else seeds.unionByName(own)
+    used = tuple(sorted({m for masks in lengths for m in masks}))
     diagonal = F.col("at") - F.col("item_at")
     # A passage is hit many times on its diagonal: it is compared once.
     hits = (
-        _seeds(hashed, "words", "at", how.masks)
+        _seeds(hashed, "words", "at", used)
         .join(F.broadcast(seeds), "seed")
         .select(
             "doc_id",
@@ -127,7 +154,7 @@ def _block_matches(hashed: DataFrame, items: DataFrame, how: Overlap) -> DataFra
         laid.where(shared >= width)
         .withColumn("equal", equal)
         .withColumn("best", _best_window(F.col("equal"), width) / width)
-        .where(F.col("best") >= how.similarity)
+        .where(F.col("best") >= F.when(F.col("item_words_n") <= EXACT, 1.0).otherwise(how.similarity))
         .select(
             "doc_id",
             "row_key",
@@ -148,7 +175,14 @@ def _matches(docs: DataFrame, items: DataFrame, how: Overlap) -> DataFrame:
     )
     prepared = items.select("item_id", word_hashes(F.col("text")).alias("item_words")).distinct()
     prepared = stored(prepared.withColumn("item_key", F.xxhash64("item_id", "item_words")))
-    n_words = prepared.agg(F.sum(F.size("item_words"))).first()[0] or 0
+    by_length = prepared.groupBy(F.least(F.size("item_words"), F.lit(LONG)).alias("n"))
+    by_length = by_length.agg(F.sum(F.size("item_words")).alias("n_words")).collect()
+    n_words = sum(r["n_words"] for r in by_length)
+    lengths: dict[tuple[str, ...], list[int]] = {}
+    for n in sorted(r["n"] for r in by_length):
+        if masks := masks_of(n, how):
+            lengths.setdefault(masks, []).append(n)
+    lengths = lengths or {masks_of(LONG, how): [LONG]}  # no item has words
     n_blocks = -(-n_words // SEEDS_PER_PASS)
     if n_blocks > 1:
         hashed = stored(hashed)
@@ -157,7 +191,7 @@ def _matches(docs: DataFrame, items: DataFrame, how: Overlap) -> DataFrame:
         part = prepared
         if n_blocks > 1:
             part = prepared.where(F.pmod("item_key", F.lit(n_blocks)) == block)
-        matches = _block_matches(hashed, part, how)
+        matches = _block_matches(hashed, part, lengths, how)
         found = matches if found is None else found.unionByName(matches)
     return found
 

@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 import pytest
 
@@ -122,3 +123,26 @@ def test_texts_that_share_an_id_are_told_apart(spark, make_docs):
     kept = [(r.doc_id, r.text) for r in d.decontaminated(frame, benchmark).collect()]
     order = lambda r: (r[0] or 0, r[1] or "")
     assert sorted(kept, key=order) == sorted((r for r in rows if r[1] != leak), key=order)
+
+
+def test_every_admitted_pattern_is_found(spark, make_docs):
+    """Items of 1 to 14 words with every set of up to three words replaced, without seeds."""
+    items = [(n, " ".join(f"i{n}w{j}" for j in range(n))) for n in range(1, 15)]
+    docs, expected = [], set()
+    for n, text in items:
+        width = min(n, 13)
+        for k in range(min(n, 3) + 1):
+            for places in combinations(range(n), k):
+                words = [f"x{j}" if j in places else w for j, w in enumerate(text.split())]
+                equal = [j not in places for j in range(n)]
+                best = max(sum(equal[i : i + width]) for i in range(n - width + 1))
+                if best >= (0.8 * width if n > 5 else n):
+                    expected.add((len(docs), n))
+                docs.append((len(docs), " ".join(["before", "it", *words, "and", "after"])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    frame = make_docs(docs)
+    assert rows_of(d.leaks(frame, benchmark)).keys() == expected
+    # Each kind of item also on its own, when documents get no seeds for the others.
+    for low, high in ((1, 1), (4, 5), (6, 6), (7, 7), (8, 14)):
+        some = benchmark.where(f"item_id BETWEEN {low} AND {high}")
+        assert rows_of(d.leaks(frame, some)).keys() == {x for x in expected if low <= x[1] <= high}
