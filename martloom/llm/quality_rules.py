@@ -5,17 +5,20 @@ are chosen per stratum (the language column) from labelled documents that pass t
 
 1. Labelled documents are dealt to two folds by a hash of their id. On the *tuning* fold each
    rule finds the cutoff with the best trade of bad documents caught against good ones lost.
+   It also fixes a path on which the stratum's cutoffs are loosened one at a time until none is
+   left: next comes the one that rejects the most good documents of that fold.
 2. On the *holdout* fold, which played no part in that choice, the exact (Clopper-Pearson)
-   upper bound on the share of good documents the cutoff rejects must not exceed `max_false`.
-   If it does, the next looser cutoff is tried; the bound is monotone in the cutoff, so this
-   fixed sequence costs no further correction.
-3. Each test is made at level `risk / proposals` (Bonferroni), the proposals being the pairs of
-   stratum and rule for which the tuning fold found any use, so that with probability 1 - risk
-   *every* rule of every stratum keeps its bound. A stratum with too few good labelled documents
-   for that certifies nothing and loses nothing but what the base rules reject.
+   upper bound on the share of good documents that *any* of the stratum's cutoffs rejects must
+   not exceed `max_false`. If it does, the next place of the path is tried; what is rejected only
+   shrinks along it, so this fixed sequence costs no further correction.
+3. Each test is made at level `risk / proposals` (Bonferroni; there are no more tests than that),
+   the proposals being the pairs of stratum and rule for which the tuning fold found any use, so
+   that with probability 1 - risk *all* rules of every stratum together keep its bound. A stratum
+   with too few good labelled documents for that certifies nothing and loses nothing but what the
+   base rules reject.
 
 Counting is one grouped aggregate over the labelled documents; what the last step sees is a
-table of strata x rules x cutoffs.
+table of strata x rules x cutoffs, and of strata x places on their paths.
 
 Defined cases: a null text has no words and fails the base rules; a null stratum is a stratum
 of its own; labels without id or quality are ignored, an id labelled both ways counts as good,
@@ -82,8 +85,8 @@ RULES = (
 
 @dataclass(frozen=True)
 class Risk:
-    """`max_false`: share of good documents one rule may reject in a stratum; `risk`: chance
-    that any bound fails; `loss_weight`: good documents lost count so many times as much as bad
+    """`max_false`: share of good documents all rules together may reject in a stratum; `risk`:
+    chance that any bound fails; `loss_weight`: good documents lost count so many times as much as bad
     ones caught; `stratum`: column whose values are judged apart."""
 
     max_false: float = 0.02
@@ -200,61 +203,107 @@ def certified_cutoff(held: np.ndarray, best: int, max_false: float, level: float
     return None
 
 
+def loosening(tuning: list[np.ndarray], loss_weight: float) -> list[list[int]]:
+    """Per rule, and number of its cutoffs a document exceeds, the place on the stratum's path
+    from which on the rule rejects no such document; 0: it never does. Empty: not proposed."""
+    places: list[list[int]] = [[] for _ in tuning]
+    at, shares = {}, {}
+    for number, counts in enumerate(tuning):
+        best = propose_cutoff(counts, loss_weight)
+        if best is not None:
+            above = _above(counts)
+            at[number] = best
+            shares[number] = above[:, 1:] / np.maximum(above[:, :1], 1)
+            places[number] = [0] * (best + 1)
+    place = 0
+    while at:
+        # The one that loses the most good documents, and of these that catches the fewest bad.
+        number = max(at, key=lambda i: (shares[i][1, at[i]], -shares[i][0, at[i]], i))
+        place += 1
+        at[number] += 1
+        places[number].append(place)
+        if at[number] == shares[number].shape[1]:
+            del at[number]
+    return places
+
+
 def certified_cutoffs(counts: DataFrame, labels: DataFrame, risk: Risk) -> DataFrame:
-    """(stratum, rule, cutoff, ...) of the rules that are certified."""
+    """(stratum, rule, cutoff, good, lost) of the rules that are certified; of the holdout's good
+    documents all the stratum's rules together reject `lost`."""
     marked = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy(F.col("doc_id").alias("_id"))
         .agg(F.max((F.col("quality") > 0).cast("int")).alias("_good"))
     )
     labelled = counts.where(~base_failed()).join(marked, F.col("doc_id") == F.col("_id"))
-    figures = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("rule"),
-                sum((F.expr(r.value) > c).cast("int") for c in r.cutoffs).alias("above"),
-            )
-            for i, r in enumerate(risk.rules)
-        ]
+    above = F.array(
+        *[sum((F.expr(r.value) > c).cast("int") for c in r.cutoffs) for r in risk.rules]
     )
     # Any engine can repeat this hash: the last bit of its first 60.
     ticket = F.md5(F.concat(F.lit("fold|"), F.col("doc_id").cast("string")))
     fold = (F.conv(F.substring(ticket, 1, 15), 16, 10).cast("long") % 2).cast("int")
-    table = (
-        labelled.select("stratum", fold.alias("fold"), "_good", F.inline(figures))
-        .groupBy("stratum", "rule", "fold", "_good", "above")
+    table = stored(
+        labelled.select("stratum", fold.alias("fold"), "_good", above.alias("above"))
+        .groupBy("stratum", "fold", "_good", "above")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    table = stored(table)
+    tuning = (
+        table.where("fold = 0")
+        .select("stratum", "_good", "n", F.posexplode("above").alias("rule", "above"))
+        .groupBy("stratum", "rule", "_good", "above")
+        .agg(F.sum("n").alias("n"))
+    )
 
     def propose(rows: pd.DataFrame) -> pd.DataFrame:
-        number = int(rows["rule"].iloc[0])
-        counts = np.zeros((2, 2, len(risk.rules[number].cutoffs) + 1), np.int64)
-        np.add.at(counts, (rows["fold"], rows["_good"], rows["above"]), rows["n"])
-        best = propose_cutoff(counts[0], risk.loss_weight)
-        found = [] if best is None else [(rows["stratum"].iloc[0], number, best, counts[1, 1])]
-        return pd.DataFrame(found, columns=["stratum", "rule", "best", "held"])
+        tuned = []
+        for number, rule in enumerate(risk.rules):
+            own = rows[rows["rule"] == number]
+            counts = np.zeros((2, len(rule.cutoffs) + 1), np.int64)
+            np.add.at(counts, (own["_good"], own["above"]), own["n"])
+            tuned.append(counts)
+        places = loosening(tuned, risk.loss_weight)
+        found = [(rows["stratum"].iloc[0], places)] if any(places) else []
+        return pd.DataFrame(found, columns=["stratum", "places"])
 
     kind = counts.schema["stratum"].dataType.simpleString()
     proposals = stored(
-        table.groupBy("stratum", "rule").applyInPandas(
-            propose, f"stratum {kind}, rule int, best int, held array<long>"
-        )
+        tuning.groupBy("stratum").applyInPandas(propose, f"stratum {kind}, places array<array<int>>")
+    )
+    proposed = F.size(F.filter("places", lambda p: F.size(p) > 0))
+    level = risk.risk / max(1, proposals.agg(F.sum(proposed)).first()[0] or 0)
+
+    paths = proposals.withColumnRenamed("stratum", "_stratum")
+    if fits_broadcast(paths):
+        paths = F.broadcast(paths)
+    left_at = F.array_max(F.zip_with("places", "above", lambda p, n: F.coalesce(F.get(p, n), F.lit(0))))
+    held = (
+        table.where("fold = 1 AND _good = 1")
+        .join(paths, F.col("stratum").eqNullSafe(F.col("_stratum")))
+        .groupBy("stratum", "places", left_at.cast("long").alias("place"))
+        .agg(F.sum("n").alias("n"))
+        .groupBy("stratum", "places")
+        .agg(F.collect_list(F.array("place", "n")).alias("held"))
     )
-    level = risk.risk / max(1, proposals.count())
 
     def certify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             found = []
             for row in rows.itertuples():
-                rule, held = risk.rules[row.rule], np.asarray(row.held)
-                j = certified_cutoff(held, row.best, risk.max_false, level)
-                if j is not None:
-                    lost = int(held[j + 1 :].sum())
-                    found.append((row.stratum, rule.name, rule.cutoffs[j], int(held.sum()), lost))
+                last = max(p[-1] for p in row.places if len(p))
+                held = np.zeros(last + 1, np.int64)
+                for place, n in row.held:
+                    held[place] += n
+                place = certified_cutoff(held, 0, risk.max_false, level)
+                if place is None:
+                    continue
+                good, lost = int(held.sum()), int(held[place + 1 :].sum())
+                for rule, own in zip(risk.rules, row.places):
+                    j = sum(p <= place for p in own) - 1
+                    if 0 <= j < len(rule.cutoffs):
+                        found.append((row.stratum, rule.name, rule.cutoffs[j], good, lost))
             yield pd.DataFrame(found, columns=["stratum", "rule", "cutoff", "good", "lost"])
 
-    return proposals.mapInPandas(
+    return held.mapInPandas(
         certify, f"stratum {kind}, rule string, cutoff double, good long, lost long"
     )
 

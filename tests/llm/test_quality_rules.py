@@ -113,3 +113,22 @@ def test_query_keeps_documents_labelled_good(spark, sf_dir):
     kept = {r.doc_id for r in rows if r.kept}
     lost = [r for r in rows if r.doc_id in good - kept and not r.base_failed]
     assert len(lost) <= 0.06 * len(good)
+
+
+def test_all_rules_of_a_stratum_together_keep_the_bound(spark):
+    """Three rules that each reject another 1 % of the good documents: each alone is certified at
+    2 %, but not all three together."""
+    names = ["symbols", "exclaims", "upper_case"]
+    columns = ["n_symbols", "n_exclaims", "n_upper"]
+    good = [(i, *[90 if i % 100 == k else 0 for k in range(3)]) for i in range(8000)]
+    bad = [(i, 90, 90, 90) for i in range(8000, 9000)]
+    counts = spark.createDataFrame(good + bad, "doc_id long, " + ", ".join(f"{c} long" for c in columns)).selectExpr(
+        "doc_id", "CAST(NULL AS string) AS stratum", *columns, "100L AS n_words", "500L AS word_chars", "10L AS n_lines",
+        "0L AS n_dup_lines", "0L AS n_repeat_words", "100L AS n_letters",
+    )
+    labels = counts.selectExpr("doc_id", "CAST(doc_id < 8000 AS int) AS quality")
+    found = {r.rule: r for r in q.certified_cutoffs(counts, labels, q.Risk()).collect()}
+    assert found and found.keys() <= set(names)
+    lost = sum(any(row[1 + names.index(r)] / 100 > found[r].cutoff for r in found) for row in good)
+    assert 0 < lost <= 0.02 * len(good)
+    assert {q.certified(r.lost, r.good, 0.02, 0.05 / 3) for r in found.values()} == {True}
