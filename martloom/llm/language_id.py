@@ -15,7 +15,9 @@ For every record and language l
   thus follows its suffix, and one without any follows the whole corpus.
 
 All counts are grouped aggregates with partial sums before the shuffle. What reaches the driver
-is the model: languages x BUCKETS counts, for at most `MAX_LANGUAGES` languages.
+is the model: BUCKETS 4-byte figures for every labelled language, all of which are kept. A record's
+scores, 8 bytes for each language, are stored between the two passes; counts by language hold only
+the languages that occur, and no plan grows with the number of languages.
 
 Defined cases: a record without text, url or declaration is judged by what is left; null or
 unreadable hosts share one host and suffix (the empty one); a null id is an id like any other; repeated
@@ -24,9 +26,11 @@ rows each count and are each returned; without labelled texts all languages are
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +41,8 @@ from martloom.operators.sizing import fits_broadcast
 from martloom.sources.scratch import stored
 
 BUCKETS = 1 << 13
-MAX_LANGUAGES = 256
+# Scores of so many records times languages leave a worker at once.
+SCORES_PER_BATCH = 1 << 20
 TEMPER = 4.0
 # Records an upper level of the host prior counts for, and a declaration's share counts for.
 PRIOR_RECORDS = 5.0
@@ -95,13 +100,20 @@ def gram_counts(texts: DataFrame) -> DataFrame:
 def train(texts: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages, in order, and log P(bucket | language)."""
     counts = stored(gram_counts(texts))
-    sizes = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "lang")
-    langs = sorted(row["lang"] for row in sizes.limit(MAX_LANGUAGES).collect())
-    table = np.ones((len(langs), BUCKETS), np.float64)
+    langs = sorted(row["lang"] for row in counts.select("lang").distinct().collect())
+    model = np.zeros((len(langs), BUCKETS), np.float32)
     index = {lang: i for i, lang in enumerate(langs)}
-    for row in counts.where(F.col("lang").isin(langs)).toLocalIterator() if langs else ():
-        table[index[row["lang"]], row["bucket"]] += row["n"]
-    return langs, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        own = np.ones(BUCKETS, np.float64)
+        np.add.at(own, rows["bucket"], rows["n"])
+        row = np.log(own / own.sum()).astype(np.float32)
+        return pd.DataFrame({"lang": rows["lang"].iloc[:1], "row": [row.tobytes()]})
+
+    rows = counts.groupBy("lang").applyInPandas(learn, "lang string, row binary")
+    for row in rows.toLocalIterator():
+        model[index[row["lang"]]] = np.frombuffer(row["row"], np.float32)
+    return langs, model
 
 
 def text_scores(records: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
@@ -115,20 +127,25 @@ def text_scores(records: DataFrame, langs: list[str], model: np.ndarray) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            parts = [np.zeros((0, n_langs))]
-            for block in blocks(batch.column(len(keep))):
-                buckets, inside = _buckets(block)
-                scores = np.zeros((block.rows, n_langs))
-                for i in range(n_langs):
-                    scores[:, i] = block.per_row(np.where(inside, table[i][buckets], 0).astype(np.float64))
-                parts.append(scores)
-            scores = np.concatenate(parts)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(scores) + 1) * n_langs, pa.int32()), pa.array(scores.ravel())
-            )
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(keep)], lists], names=[*keep, "scores"]
-            )
+            step = max(1, SCORES_PER_BATCH // n_langs)
+            for first in range(0, batch.num_rows, step):
+                part = batch.slice(first, step)
+                parts = [np.zeros((0, n_langs))]
+                for block in blocks(part.column(len(keep))):
+                    buckets, inside = _buckets(block)
+                    scores = np.zeros((block.rows, n_langs))
+                    for i in range(n_langs):
+                        scores[:, i] = block.per_row(
+                            np.where(inside, table[i][buckets], 0).astype(np.float64)
+                        )
+                    parts.append(scores)
+                scores = np.concatenate(parts)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(scores) + 1) * n_langs, pa.int32()), pa.array(scores.ravel())
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[: len(keep)], lists], names=[*keep, "scores"]
+                )
 
     return source.mapInArrow(run, source.drop("text").schema.add("scores", ArrayType(DoubleType())))
 
@@ -153,10 +170,11 @@ def suffix_of(host: Column) -> Column:
     return F.regexp_extract(host, r"\.([^.]+)$", 1)
 
 
-def _counts_by(scored: DataFrame, keys: list[str], n_langs: int) -> DataFrame:
-    """`keys`, n and `by_lang`, the number of records per text language."""
-    columns = [F.sum((F.col("guess") == i).cast("long")) for i in range(n_langs)]
-    return scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*columns).alias("by_lang"))
+def _counts_by(scored: DataFrame, key: str) -> DataFrame:
+    """`key`, n and `by_lang`, the number of records per text language that occurs."""
+    counts = scored.groupBy(key, "guess").agg(F.count(F.lit(1)).alias("n"))
+    by_lang = F.map_from_entries(F.collect_list(F.struct("guess", "n")))
+    return counts.groupBy(key).agg(F.sum("n").alias("n"), by_lang.alias("by_lang"))
 
 
 def _join_counts(scored: DataFrame, counts: DataFrame, key: str, name: str) -> DataFrame:
@@ -178,41 +196,50 @@ def identify(records: DataFrame, langs: list[str], model: np.ndarray) -> DataFra
             "*", none.alias("text_lang"), none.alias("lang"), F.lit(None).cast("double").alias("posterior")
         )
     n_langs = len(langs)
-    names = F.array(*[F.lit(x) for x in langs])
+    names = F.from_json(F.lit(json.dumps(langs)), "array<string>")
     scored = text_scores(records, langs, model)
     best = F.array_position("scores", F.array_max("scores")).cast("int") - 1
     scored = stored(scored.withColumn("guess", best))
 
-    everything = _counts_by(scored, ["guess"], n_langs).collect()
+    everything = scored.groupBy("guess").agg(F.count(F.lit(1)).alias("n")).collect()
     totals = np.zeros(n_langs)
     for row in everything:
         totals[row["guess"]] = row["n"]
     world = (totals + 1) / (totals.sum() + n_langs)
 
-    rows = _join_counts(scored, _counts_by(scored, ["host"], n_langs), "host", "host")
-    rows = _join_counts(rows, _counts_by(scored, ["suffix"], n_langs), "suffix", "suffix")
-    rows = _join_counts(rows, _counts_by(scored, ["declared"], n_langs), "declared", "declared")
+    rows = _join_counts(scored, _counts_by(scored, "host"), "host", "host")
+    rows = _join_counts(rows, _counts_by(scored, "suffix"), "suffix", "suffix")
+    rows = _join_counts(rows, _counts_by(scored, "declared"), "declared", "declared")
 
     n_all = float(max(totals.sum(), 1))
-    logs = []
-    for i in range(n_langs):
+    shares = F.from_json(F.lit(json.dumps(world.tolist())), "array<double>")
+    sizes = F.from_json(F.lit(json.dumps(totals.tolist())), "array<double>")
+
+    def log_evidence(score: Column, i: Column) -> Column:
         own = (F.col("guess") == i).cast("long")
-        by_suffix = (F.col("suffix_by")[i] - own + PRIOR_RECORDS * float(world[i])) / (
+
+        def count(name: str) -> Column:
+            return F.coalesce(F.try_element_at(f"{name}_by", i), F.lit(0))
+
+        by_suffix = (count("suffix") - own + PRIOR_RECORDS * F.get("_shares", i)) / (
             F.col("suffix_n") - 1 + PRIOR_RECORDS
         )
-        by_host = (F.col("host_by")[i] - own + PRIOR_RECORDS * by_suffix) / (
+        by_host = (count("host") - own + PRIOR_RECORDS * by_suffix) / (
             F.col("host_n") - 1 + PRIOR_RECORDS
         )
         share = F.col("declared_n") / n_all
-        declares = (F.col("declared_by")[i] + PRIOR_RECORDS * share) / (float(totals[i]) + PRIOR_RECORDS)
-        logs.append(F.log(by_host) + F.log(declares) + F.col("scores")[i] / TEMPER)
-    fused = rows.withColumn("logs", F.array(*logs)).withColumn("top", F.array_max("logs"))
+        declares = (count("declared") + PRIOR_RECORDS * share) / (F.get("_sizes", i) + PRIOR_RECORDS)
+        return F.log(by_host) + F.log(declares) + score / TEMPER
+
+    rows = rows.withColumn("_shares", shares).withColumn("_sizes", sizes)
+    fused = rows.withColumn("logs", F.transform("scores", log_evidence))
+    fused = fused.withColumn("top", F.array_max("logs"))
     place = F.array_position("logs", F.col("top")).cast("int") - 1
     rest = F.aggregate("logs", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))
     columns = [c for c in records.columns if c != "text"]
     return fused.select(
         *columns,
-        names[F.col("guess")].alias("text_lang"),
-        names[place].alias("lang"),
+        F.get(names, F.col("guess")).alias("text_lang"),
+        F.get(names, place).alias("lang"),
         F.try_divide(F.lit(1.0), rest).alias("posterior"),
     )

@@ -120,3 +120,14 @@ def test_page_parts(spark):
         lang.suffix_of(lang.host_of(F.col("url"))),
     ).first()
     assert tuple(empty) == ("", None, "", "")
+
+
+def test_every_labelled_language_is_learned(spark, make_docs):
+    """300 language codes, more than were once kept, the last ones with the least text."""
+    stems = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + i * 7 % 26)}" for i in range(300)]
+    text = lambda i: f"{stems[i]} " * (700 - i)
+    docs = make_docs([(i, text(i), f"l{i:03}", "s") for i in range(300)])
+    langs, table = lang.train(docs)
+    assert langs == [f"l{i:03}" for i in range(300)] and table.shape == (300, lang.BUCKETS)
+    found = {r.doc_id: (r.text_lang, r.lang) for r in lang.identify(records(docs), langs, table).collect()}
+    assert found == {i: (f"l{i:03}", f"l{i:03}") for i in range(300)}
