@@ -14,6 +14,7 @@ from martloom.llm import (
     mixing,
     quality_rules,
     simhash,
+    target_resampling,
     token_orc,
     warc_audit,
 )
@@ -157,3 +158,9 @@ def op9_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     page_id = F.regexp_extract("record_id", r"^urn:page:(-?\d+)$", 1)
     return found.withColumn("page_id", F.nullif(page_id, F.lit("")).cast("long"))
+
+
+@query(oracle=sql.TARGET_RESAMPLING)
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = target_resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")

@@ -251,3 +251,54 @@ SELECT doc_id, item_id, greatest(diagonal, 0)::BIGINT AS first_word, list_sum(eq
 FROM best WHERE best_window >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, best_window DESC, first_word) = 1
 """
+
+# crc32 by its definition, from a table made by rule.
+TARGET_RESAMPLING = r"""
+WITH crc_table AS (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)),
+            lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS v
+        FROM range(256) AS r(i))
+), words AS (
+    SELECT 0 AS side, doc_id AS id, row_number() OVER () AS row_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    UNION ALL
+    SELECT 1, NULL, NULL, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), features AS (
+    SELECT side, id, row_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f
+    FROM words
+), hashed AS (
+    SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT,
+            list_transform(range(1, octet_length(encode(f)) * 2, 2),
+                lambda i: (16 * (strpos('0123456789ABCDEF', hex(encode(f))[i]) - 1)
+                    + strpos('0123456789ABCDEF', hex(encode(f))[i + 1]) - 1)::BIGINT)),
+            lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256)), 4294967295) % 10000 AS bucket
+    FROM (SELECT DISTINCT f FROM features), crc_table
+), counted AS (
+    SELECT bucket, count(*) FILTER (WHERE side = 0) AS s, count(*) FILTER (WHERE side = 1) AS t
+    FROM features JOIN hashed USING (f) GROUP BY bucket
+), gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM counted) + 10000)::DOUBLE
+        / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM counted) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM counted
+), sums AS (
+    SELECT row_id, count(*) AS n_features, sum(gain)::BIGINT AS total
+    FROM features JOIN hashed USING (f) JOIN gains USING (bucket) WHERE side = 0 GROUP BY row_id
+), scored AS (
+    SELECT w.id AS doc_id, len(w.w) AS n_words, coalesce(n_features, 0) AS n_features,
+        coalesce(floor(total / n_features), 0)::BIGINT AS weight,
+        floor(-1000 * ln(-ln((('0x' || sha256('7:' || coalesce(w.id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE)
+            / 4294967296::DOUBLE)))::BIGINT AS noise
+    FROM words w LEFT JOIN sums USING (row_id) WHERE side = 0
+), ranked AS (
+    SELECT doc_id, weight + noise AS score, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS rank
+    FROM scored WHERE n_words >= 20
+)
+SELECT s.doc_id, s.n_features, s.weight, s.weight + s.noise AS score, r.rank
+FROM scored s LEFT JOIN (
+    SELECT * FROM ranked WHERE rank <= 25 * (SELECT count(*) FROM ranked) // 100
+) r ON s.doc_id IS NOT DISTINCT FROM r.doc_id
+"""
