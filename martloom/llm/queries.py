@@ -14,6 +14,7 @@ from martloom.llm import (
     mixing,
     quality_rules,
     simhash,
+    structure_repair,
     target_resampling,
     token_orc,
     warc_audit,
@@ -160,6 +161,12 @@ def op9_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("page_id", F.nullif(page_id, F.lit("")).cast("long"))
 
 
+@query
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = structure_repair.source_rows(read(spark, sf_dir, "conversations"))
+    return structure_repair.repaired(structure_repair.damaged(rows))
+
+
 @query(oracle=sql.TARGET_RESAMPLING)
 def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = target_resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
