@@ -17,6 +17,7 @@ from martloom.llm import (
     structure_repair,
     target_resampling,
     token_orc,
+    toxicity,
     warc_audit,
 )
 from martloom.llm import queries_sql as sql
@@ -161,6 +162,11 @@ def op9_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("page_id", F.nullif(page_id, F.lit("")).cast("long"))
 
 
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = structure_repair.source_rows(read(spark, sf_dir, "conversations"))
