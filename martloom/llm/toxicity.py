@@ -36,6 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -237,23 +238,29 @@ class Lexicon:
     hashes: np.ndarray
     symbols: np.ndarray
     weights: np.ndarray
-    heads: np.ndarray  # whether some entry begins with these three bytes
+    heads: np.ndarray  # first three bytes of the entries, as numbers
+
+    @cached_property
+    def begins(self) -> np.ndarray:
+        """Whether some entry begins with three given bytes; made where it is used, as it is
+        much larger than what it is made from."""
+        table = np.zeros(1 << 24, bool)
+        table[self.heads] = True
+        return table
 
 
 def lexicon(stems: np.ndarray, weights: np.ndarray, heads: np.ndarray) -> Lexicon:
     fixed = [(THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)]
     hashes, symbols, own = [stems], [np.full(len(stems), INSULT)], [weights]
-    table = np.zeros(1 << 24, bool)
-    table[heads] = True
+    first = [heads.astype(np.int64)]
     for symbol, words in fixed:
         hashes.append(_hash_of(words))
         symbols.append(np.full(len(words), symbol))
         own.append(np.zeros(len(words)))
-        for word in words:
-            table[int.from_bytes(word.encode()[:3].ljust(3, b"\0"))] = True
+        first.append(np.array([int.from_bytes(w.encode()[:3].ljust(3, b"\0")) for w in words]))
     every = np.concatenate(hashes)
     order = np.argsort(every, kind="stable")
-    return Lexicon(every[order], np.concatenate(symbols)[order], np.concatenate(own)[order], table)
+    return Lexicon(every[order], np.concatenate(symbols)[order], np.concatenate(own)[order], np.unique(np.concatenate(first)))
 
 
 def evidence(block: Block, known: Lexicon) -> np.ndarray:
@@ -262,7 +269,7 @@ def evidence(block: Block, known: Lexicon) -> np.ndarray:
     starts, ends = spans(block, IS_ALNUM[data])
     out = np.zeros((block.rows, len(PRIOR)))
     n_words = np.bincount(block.row_of(starts), minlength=block.rows)
-    likely = np.flatnonzero(known.heads[_heads(data, starts, ends)])
+    likely = np.flatnonzero(known.begins[_heads(data, starts, ends)])
     symbol, weight = np.full(len(likely), -1), np.zeros(len(likely))
     for words, name in _states(data, starts[likely], ends[likely]):
         at = np.minimum(np.searchsorted(known.hashes, name), len(known.hashes) - 1)
