@@ -36,7 +36,7 @@ from martloom.operators.sizing import fits_broadcast
 
 STRIPE_BYTES = 32 << 20
 ROW_INDEX = 1_000
-# Distinct pieces a worker remembers.
+# Distinct pieces a worker remembers, in two generations.
 REMEMBERED = 250_000
 # Bytes of one text, and pieces of several, that are encoded at a time.
 _GROUP = 1 << 20
@@ -46,6 +46,10 @@ _MARKS = [bytes([b]) for b in b".,;:!?#$%&*"]
 _PUNCTUATION = re.compile(rb"([A-Za-z0-9])([.,;:!?#$%&*])")
 _RUNS = re.compile(rb"[^A-Za-z0-9\x80-\xff \t\n\x0b\x0c\r][.,;:!?#$%&*]")
 _ASCII = bytes(range(128))
+# Lower-case letters of one or two bytes, and words of them in either case.
+_LETTERS = "".join(map(chr, [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_WORDS = ["the", "isnt", "dont", "über", "élève", "señor", "straße", "s", "ll", "re", "supercalifragilistic"]
 
 _SCHEMA = "doc_id {kind}, n_tokens long, part int, before long, tokens array<int>"
 
@@ -75,57 +79,98 @@ def pieces_of(raw: bytes) -> list[bytes]:
     return raw.split()
 
 
+class Pieces:
+    """Pieces and their ids: piece to its number i, with ids[starts[i]:starts[i + 1]]."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.starts = np.zeros(1 << 16, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.known)
+
+    def add(self, pieces: list[bytes], encoded: list[list[int]]) -> None:
+        first = len(self.known)
+        ends = self.starts[first] + np.cumsum([len(x) for x in encoded], dtype=np.int64)
+        if first + len(pieces) >= len(self.starts):
+            self.starts = np.resize(self.starts, 2 * (first + len(pieces)))
+        if ends[-1] > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * int(ends[-1]))
+        self.ids[self.starts[first] : ends[-1]] = [i for x in encoded for i in x]
+        self.starts[first + 1 : first + 1 + len(pieces)] = ends
+        self.known.update(zip(pieces, range(first, first + len(pieces))))
+
+    def ids_of(self, piece: bytes) -> list[int]:
+        at = self.known[piece]
+        return self.ids[self.starts[at] : self.starts[at + 1]].tolist()
+
+
 class Encoder:
-    """Whole texts to ids, remembering the ids of pieces."""
+    """Whole texts to ids, remembering the ids of pieces in two generations: when the young one is
+    full, the old one is dropped and takes its place, so what is in use stays known.
+
+    A piece of nothing but letters of one or two bytes is a single word to the tokenizer, which a
+    probe confirms (`direct`); its model then takes it as it is, in the model's own alphabet.
+    """
 
     def __init__(self, path: str, by_piece: bool):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_piece = by_piece
-        self._forget()
-
-    def _forget(self) -> None:
-        # Piece to its number; the ids of piece i are ids[starts[i]:starts[i + 1]].
-        self.known: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.starts = np.zeros(1 << 16, np.int64)
+        self.young, self.old = Pieces(), Pieces()
+        self.alphabet: dict[int, str] = {}
+        self.direct = by_piece and self._check_direct()
+
+    def _check_direct(self) -> bool:
+        if self.tokenizer.pre_tokenizer is None:
+            return False
+        for letter in _LETTERS:
+            found = self.tokenizer.pre_tokenizer.pre_tokenize_str(letter)
+            if len(found) != 1:
+                return False
+            self.alphabet[ord(letter)] = found[0][0]
+        words = [_LETTERS[i : i + n] for n in (1, 2, 5, 11) for i in range(len(_LETTERS))] + _WORDS
+        whole = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return whole == [self._of_word(w) for w in words]
+
+    def _of_word(self, word: str) -> list[int]:
+        return [token.id for token in self.tokenizer.model.tokenize(word.translate(self.alphabet))]
+
+    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
+        texts = [p.decode() for p in pieces]
+        single = [self.direct and _WORD.fullmatch(x) is not None for x in texts]
+        others = [x for x, alone in zip(texts, single) if not alone]
+        rest = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False))
+        return [self._of_word(x.lower()) if alone else next(rest).ids for x, alone in zip(texts, single)]
 
     def _learn(self, pieces: list[bytes]) -> None:
-        for at in range(0, len(pieces), 10_000):
-            part = pieces[at : at + 10_000]
-            encoded = [
-                e.ids
-                for e in self.tokenizer.encode_batch_fast(
-                    [p.decode() for p in part], add_special_tokens=False
-                )
-            ]
-            first = len(self.known)
-            ends = self.starts[first] + np.cumsum([len(x) for x in encoded])
-            if first + len(part) >= len(self.starts):
-                self.starts = np.resize(self.starts, 2 * (first + len(part)))
-            if ends[-1] > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * int(ends[-1]))
-            self.ids[self.starts[first] : ends[-1]] = [i for x in encoded for i in x]
-            self.starts[first + 1 : first + 1 + len(part)] = ends
-            self.known.update(zip(part, range(first, first + len(part))))
+        old = [p for p in pieces if p in self.old.known]
+        if old:
+            self.young.add(old, [self.old.ids_of(p) for p in old])
+        new = [p for p in pieces if p not in self.old.known] if old else pieces
+        for at in range(0, len(new), 10_000):
+            part = new[at : at + 10_000]
+            self.young.add(part, self._encode(part))
 
     def _lookup(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces end to end, and how many each has."""
-        found = list(map(self.known.get, pieces))
+        found = list(map(self.young.known.get, pieces))
         if None in found:
             new = list({p for p, n in zip(pieces, found) if n is None})
-            if len(self.known) + len(new) > REMEMBERED:
-                self._forget()
+            if self.young.known and len(self.young) + len(new) > REMEMBERED // 2:
+                self.young, self.old = Pieces(), self.young
                 new = list(set(pieces))
             self._learn(new)
-            found = list(map(self.known.__getitem__, pieces))
+            found = list(map(self.young.known.__getitem__, pieces))
         numbers = np.array(found, np.int64)
-        first = self.starts[numbers]
-        counts = self.starts[numbers + 1] - first
+        starts = self.young.starts
+        first = starts[numbers]
+        counts = starts[numbers + 1] - first
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
-        return self.ids[np.repeat(first - ends + counts, counts) + np.arange(total)], counts
+        return self.young.ids[np.repeat(first - ends + counts, counts) + np.arange(total)], counts
 
     def encode_rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has."""

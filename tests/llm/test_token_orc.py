@@ -102,3 +102,24 @@ def test_forgetting_changes_nothing(tokenizer, monkeypatch):
     encoder = t.Encoder(t.default_tokenizer(), by_piece=True)
     assert encoder.encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
     assert t.check_pieces(t.default_tokenizer())
+
+
+@given(st.lists(st.text("abcxyzABZÉÜßéñÿ", min_size=1, max_size=14), max_size=20))
+@settings(max_examples=300, deadline=None)
+def test_words_go_to_the_model_directly(tokenizer, encoder, words):
+    assert encoder.direct
+    text = " ".join(words)
+    assert encoder.encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_in_use_outlive_a_generation(tokenizer, monkeypatch):
+    monkeypatch.setattr(t, "REMEMBERED", 40)
+    encoder = t.Encoder(t.default_tokenizer(), by_piece=True)
+    asked = []
+    plain = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda pieces: asked.extend(pieces) or plain(pieces))
+    for i in range(100):
+        text = f"often word{i} new{i}"
+        assert encoder.encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert asked.count(b"often") == 1
+    assert len(encoder.young) + len(encoder.old) <= 44
