@@ -13,7 +13,7 @@ from martloom.operators.mapping import typed_cast
 from martloom.operators.quality import row_counts
 from martloom.operators.schema import columns
 from martloom.queries.registry import query, read
-from martloom.sources import catalog
+from martloom.sources import catalog, evolving
 from martloom.sources.contract import load_contract, parse_contract
 from martloom.sources.delimited import SOURCE_FILE, scan_delimited
 from martloom.sources.scratch import scratch_dir, stored
@@ -217,3 +217,32 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stored(parts[0].unionByName(parts[1]))
     finally:
         catalog.drop_database(spark, database)
+
+
+@query("""
+    SELECT o_orderkey AS order_number, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(14,4)) AS amount,
+           CASE o_orderstatus WHEN 'F' THEN 'NOT STATED' ELSE o_orderpriority END AS priority,
+           CASE o_orderstatus WHEN 'P' THEN CAST(o_orderdate AS DATE) END AS ordered
+    FROM orders""")
+def append_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three appends, each with more columns or wider ones; the second is made twice."""
+    path = scratch_dir(spark, "evolved")
+    orders = read(spark, sf_dir, "orders")
+    amount = F.col("o_totalprice").cast("decimal(12,2)")
+    first = orders.where("o_orderstatus = 'F'").select(
+        F.col("o_orderkey").cast("int").alias("order_number"), amount.alias("amount")
+    )
+    second = orders.where("o_orderstatus NOT IN ('F', 'P')").select(
+        F.col("o_orderpriority").alias("priority"), amount.alias("amount"), F.col("o_orderkey").alias("order_number")
+    )
+    third = orders.where("o_orderstatus = 'P'").select(
+        F.col("o_orderdate").cast("date").alias("ordered"),
+        F.col("o_orderkey").alias("order_number"),
+        amount.cast("decimal(14,4)").alias("amount"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+    evolving.append_evolved(first, path, token="1")
+    for _ in range(2):
+        evolving.append_evolved(second, path, token="2", defaults={"priority": "'NOT STATED'"})
+    evolving.append_evolved(third, path, token="3")
+    return evolving.read_evolved(spark, path)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -73,6 +74,43 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file that must not exist yet; False if it does."""
+    target, files = _path(spark, path)
+    if files.exists(target):
+        return False
+    try:
+        out = files.create(target, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" not in str(error.java_exception.getClass()):
+            raise
+        return False
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def numbered_texts(spark: SparkSession, folder: str) -> dict[int, str]:
+    """Number to text, for the files `<number>.json` of a folder."""
+    root, files = _path(spark, folder)
+    if not files.exists(root):
+        return {}
+    found = {}
+    for entry in files.listStatus(root):
+        stem, _, kind = entry.getPath().getName().partition(".")
+        if kind == "json" and stem.isdigit():
+            stream = files.open(entry.getPath())
+            try:
+                found[int(stem)] = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(
+                    stream, "UTF-8"
+                )
+            finally:
+                stream.close()
+    return dict(sorted(found.items()))
+
+
 def empty_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows. The limit tells the optimizer so, which then drops joins with them."""
     return spark.createDataFrame([], as_nullable(schema)).limit(0)
@@ -117,7 +155,7 @@ def append_rows(df: DataFrame, table: Table, root: str) -> None:
     )
 
 
-def _escaped(value: str) -> str:
+def escaped(value: str) -> str:
     """A folder-name value as Spark writes it."""
     return "".join(
         f"%{ord(ch):02X}" if ch in '"#%\'*/:=?\\{[]^\x7f' or ch < " " else ch for ch in value
@@ -125,7 +163,7 @@ def _escaped(value: str) -> str:
 
 
 def partition_folder(table: Table, root: str, values: Mapping[str, object]) -> str:
-    names = [f"{column}={_escaped(str(value))}" for column, value in values.items()]
+    names = [f"{column}={escaped(str(value))}" for column, value in values.items()]
     return "/".join([table.path(root), *names])
 
 
