@@ -29,19 +29,17 @@ from martloom.plans.mart import (
     create_mart,
     expire_slices,
     fallback_columns,
-    read_mart,
+    read_mart_tables,
     seed_organizations,
+    truncate_mart,
 )
 from martloom.plans.pipeline import transform_batch
-from martloom.plans.policy_mart import CONTRACTS, MART, STAGING
+from martloom.plans.policy_mart import CONTRACTS, STAGING
 from martloom.plans.staging import REJECTS, load_file
 from martloom.sources.contract import load_contract
 from martloom.sources.tables import truncate_table
 from martloom.streaming.arrivals import MAX_FILE_AGE, load_arrivals
 
-# A reference table is seeded, not loaded, and so not emptied with the others.
-KEPT = ("dim_organization",)
-
 
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
@@ -113,7 +111,7 @@ def run(spark: SparkSession, args: argparse.Namespace, now: datetime) -> int:
     elif args.step == "expire":
         expire_slices(spark, args.mart, args.keep)
     elif args.step == "check":
-        faults = mart_faults({name: read_mart(spark, name, args.mart) for name in MART}).collect()
+        faults = mart_faults(read_mart_tables(spark, args.mart)).collect()
         for row in faults:
             print(f"{row.table_name} {row.check_name}: {row.n_faults}")
         return sum(row.n_faults for row in faults)
@@ -122,9 +120,7 @@ def run(spark: SparkSession, args: argparse.Namespace, now: datetime) -> int:
             for table in (*STAGING.values(), REJECTS):
                 truncate_table(spark, table, args.staging)
         if args.mart:
-            for name, table in MART.items():
-                if name not in KEPT:
-                    truncate_table(spark, table, args.mart)
+            truncate_mart(spark, args.mart)
     return 0
 
 

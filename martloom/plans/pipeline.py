@@ -8,7 +8,8 @@ from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 
-from martloom.plans.mart import NAMED_BY, SOURCES, create_mart, transform_table
+from martloom.plans.manifest import latest, publish
+from martloom.plans.mart import NAMED_BY, SOURCES, base_of, create_mart, transform_table
 from martloom.plans.policy_mart import CONTRACTS
 from martloom.plans.staging import LoadCounts, load_file
 from martloom.sources.contract import Contract
@@ -52,16 +53,19 @@ def transform_batch(
     load_date: date,
     fallback: Sequence[str] = NAMED_BY,
 ) -> None:
-    """Bring every dimension and the facts up to the batch."""
+    """Bring every dimension and the facts up to the batch, all at once to their readers."""
     create_mart(spark, mart_root)
-    side_by_side(
+    seen = latest(spark, mart_root)
+    base = base_of(spark, mart_root, batch_date)
+    states = side_by_side(
         (
             lambda name=name: transform_table(
-                spark, name, staging_root, mart_root, batch_date, load_date, fallback
+                spark, name, staging_root, mart_root, batch_date, load_date, fallback, base
             )
         )
         for name in SOURCES
     )
+    publish(spark, mart_root, batch_date, base.buckets, dict(zip(SOURCES, states)), seen)
 
 
 def run_batch(
