@@ -13,7 +13,8 @@ from martloom.operators.dedup import duplicate_keys, first_per_key, latest_per_k
 from martloom.operators.merge import Scd1, Scd2, scd1_upsert, scd2_merge
 from martloom.operators.schema import columns
 from martloom.queries.registry import query, read
-from martloom.sources.scratch import stored
+from martloom.sources.scratch import scratch_dir, stored
+from martloom.sources.sketched import append_part
 from martloom.sources.tables import empty_rows
 
 # Orders are news about their customer: an earlier batch and a later one, by order date.
@@ -316,3 +317,22 @@ def append_new_facts_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_one_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded, arrived = _line_batches(spark, sf_dir)
     return new_facts(arrived, loaded, _LINE_KEY, one_per_key=True)
+
+
+_HELD_LINES = "l_orderkey % 2 = 0 AND l_orderkey <= 0.75 * (SELECT max(l_orderkey) FROM lineitem)"
+
+
+@query(f"""
+    SELECT DISTINCT {_LINE_COLUMNS} FROM lineitem
+    WHERE l_orderkey > 0.6 * (SELECT max(l_orderkey) FROM lineitem) AND NOT ({_HELD_LINES})""")
+def append_new_facts_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three parts by ranges of order keys; a batch that overlaps the last of them opens that one only."""
+    path = scratch_dir(spark, "sketched")
+    lines = read(spark, sf_dir, "lineitem").selectExpr(*[c.strip() for c in _LINE_COLUMNS.split(",")])
+    greatest = lines.agg(F.max("l_orderkey")).first()[0] or 0
+    key = F.col("l_orderkey")
+    even = lines.where(key % 2 == 0)
+    for part, low, high in (("1", -1, 0.25), ("2", 0.25, 0.5), ("3", 0.5, 0.75)):
+        rows = even.where((key > low * greatest) & (key <= high * greatest))
+        append_part(rows, path, part, ["l_orderkey"], dense=True)
+    return append_part(lines.where(key > 0.6 * greatest), path, "4", ["l_orderkey"], dense=True)
