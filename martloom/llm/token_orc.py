@@ -25,6 +25,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from martloom.operators.sizing import fits_broadcast
 STRIPE_BYTES = 32 << 20
 ROW_INDEX = 1_000
 # Distinct pieces a worker remembers, in two generations.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 # Bytes of one text, and pieces of several, that are encoded at a time.
 _GROUP = 1 << 20
 _PIECES = 100_000
@@ -79,31 +80,39 @@ def pieces_of(raw: bytes) -> list[bytes]:
     return raw.split()
 
 
-class Pieces:
-    """Pieces and their ids: piece to its number i, with ids[starts[i]:starts[i + 1]]."""
+class Pieces(dict):
+    """Piece to its number, given out on first sight; `fresh` are those whose ids are to be
+    added. Those of piece i are ids[starts[i]:starts[i] + counts[i]]."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
+        self.fresh: list[bytes] = []
         self.ids = np.zeros(1 << 16, np.int32)
+        self.used = 0
         self.starts = np.zeros(1 << 16, np.int64)
-
-    def __len__(self) -> int:
-        return len(self.known)
-
-    def add(self, pieces: list[bytes], encoded: list[list[int]]) -> None:
-        first = len(self.known)
-        ends = self.starts[first] + np.cumsum([len(x) for x in encoded], dtype=np.int64)
-        if first + len(pieces) >= len(self.starts):
-            self.starts = np.resize(self.starts, 2 * (first + len(pieces)))
-        if ends[-1] > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * int(ends[-1]))
-        self.ids[self.starts[first] : ends[-1]] = [i for x in encoded for i in x]
-        self.starts[first + 1 : first + 1 + len(pieces)] = ends
-        self.known.update(zip(pieces, range(first, first + len(pieces))))
-
-    def ids_of(self, piece: bytes) -> list[int]:
-        at = self.known[piece]
-        return self.ids[self.starts[at] : self.starts[at + 1]].tolist()
+        self.counts = np.zeros(1 << 16, np.int64)
+
+    def __missing__(self, piece: bytes) -> int:
+        self[piece] = number = len(self)
+        self.fresh.append(piece)
+        return number
+
+    def add(self, numbers: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Ids, end to end, of the pieces with these numbers."""
+        if len(self) > len(self.starts):
+            self.starts, self.counts = (np.resize(x, 2 * len(self)) for x in (self.starts, self.counts))
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.starts[numbers] = self.used + np.cumsum(counts) - counts
+        self.counts[numbers] = counts
+        self.used += len(ids)
+
+    def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces end to end, and how many each has."""
+        counts = self.counts[numbers]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.starts[numbers] - ends + counts, counts) + np.arange(total)], counts
 
 
 class Encoder:
@@ -136,41 +145,52 @@ class Encoder:
         return whole == [self._of_word(w) for w in words]
 
     def _of_word(self, word: str) -> list[int]:
-        return [token.id for token in self.tokenizer.model.tokenize(word.translate(self.alphabet))]
+        own = word if word.isascii() else word.translate(self.alphabet)
+        return [token.id for token in self.tokenizer.model.tokenize(own)]
 
     def _encode(self, pieces: list[bytes]) -> list[list[int]]:
-        texts = [p.decode() for p in pieces]
-        single = [self.direct and _WORD.fullmatch(x) is not None for x in texts]
-        others = [x for x, alone in zip(texts, single) if not alone]
-        rest = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False))
-        return [self._of_word(x.lower()) if alone else next(rest).ids for x, alone in zip(texts, single)]
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        old = [p for p in pieces if p in self.old.known]
-        if old:
-            self.young.add(old, [self.old.ids_of(p) for p in old])
-        new = [p for p in pieces if p not in self.old.known] if old else pieces
+        if not self.direct:
+            texts = [p.decode() for p in pieces]
+            return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list = []
+        others, places = [], []
+        for place, piece in enumerate(pieces):
+            text = piece.decode()
+            if piece.isalpha() or _WORD.fullmatch(text):
+                out.append(self._of_word(text.lower()))
+            else:
+                out.append(None)
+                others.append(text)
+                places.append(place)
+        encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        for place, e in zip(places, encoded):
+            out[place] = e.ids
+        return out
+
+    def _learn(self) -> None:
+        """Ids of the young generation's fresh pieces: from the old one, or the tokenizer."""
+        fresh, self.young.fresh = self.young.fresh, []
+        first = len(self.young) - len(fresh)
+        kept = np.array([self.old.get(p, -1) for p in fresh], np.int64)
+        again = np.flatnonzero(kept >= 0)
+        if len(again):
+            self.young.add(first + again, *self.old.ids_of(kept[again]))
+        new = np.flatnonzero(kept < 0)
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
-            self.young.add(part, self._encode(part))
+            encoded = self._encode([fresh[i] for i in part])
+            counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            ids = np.fromiter(chain.from_iterable(encoded), np.int32, int(counts.sum()))
+            self.young.add(first + part, ids, counts)
 
     def _lookup(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces end to end, and how many each has."""
-        found = list(map(self.young.known.get, pieces))
-        if None in found:
-            new = list({p for p, n in zip(pieces, found) if n is None})
-            if self.young.known and len(self.young) + len(new) > REMEMBERED // 2:
-                self.young, self.old = Pieces(), self.young
-                new = list(set(pieces))
-            self._learn(new)
-            found = list(map(self.young.known.__getitem__, pieces))
-        numbers = np.array(found, np.int64)
-        starts = self.young.starts
-        first = starts[numbers]
-        counts = starts[numbers + 1] - first
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.young.ids[np.repeat(first - ends + counts, counts) + np.arange(total)], counts
+        if len(self.young) > REMEMBERED // 2:
+            self.young, self.old = Pieces(), self.young
+        numbers = np.fromiter(map(self.young.__getitem__, pieces), np.int64, len(pieces))
+        if self.young.fresh:
+            self._learn()
+        return self.young.ids_of(numbers)
 
     def encode_rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has."""
