@@ -3,8 +3,9 @@
 Words of every text are hashed, and a few fixed masks are laid over every position. A mask names
 the words it looks at and ignores those between, so a hit survives substitutions at the ignored
 places. The masks together hit every passage that the rule below admits: from eight words on the
-first three do, for six and seven words it takes all of them. Items of up to five words are one
-seed each, and must stand word for word.
+first three do, for six and seven words it takes all of them, items of five words have masks of
+their own, and shorter ones, of which the rule admits no other word, are one seed each. Other rules
+are accepted only where enumeration shows that their masks miss nothing they admit.
 Seeds of the items meet the seeds of the documents in one join. Around each hit item and document
 are laid over each other on the hit's diagonal, and compared word by word: the document holds the
 item if some window of `window` words of the item (or all of a shorter item) has at least
@@ -25,6 +26,7 @@ their best overlap; repeated rows count as one document or item; other columns a
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +42,10 @@ MASKS_OF_SHORT = ("11111", "101111", "111011", "111101")
 MASKS = MASKS_OF_LONG + MASKS_OF_SHORT
 # Windows of so many words and more do without MASKS_OF_SHORT.
 LONG = 8
-# Items of up to so many words are compared whole and exactly.
-EXACT = 5
+# Items of five words: any four of them in place.
+MASKS_OF_FIVE = ("1111", "11011", "10111", "11101")
+# Items of up to so many words are one seed.
+EXACT = 4
 # Words of the items whose seeds one pass broadcasts: about 24 bytes for each word and mask,
 # and 8 for the item's own words, so some 40 MB.
 SEEDS_PER_PASS = 400_000
@@ -53,11 +57,40 @@ class Overlap:
     similarity: float = 0.8
     masks: tuple[str, ...] = MASKS
 
+    def __post_init__(self) -> None:
+        """Windows of every length are hit, whichever words the rule lets differ."""
+        for n in range(1, self.window + 1):
+            missed = missed_pattern(n, self)
+            if missed is not None:
+                raise ValueError(
+                    f"{self.similarity} of {n} words lets the words {missed} differ, which no mask survives"
+                )
+
+
+def missed_pattern(n_words: int, how: Overlap) -> tuple[int, ...] | None:
+    """Places of as many other words as the rule admits in a window of `n_words`, by which all
+    masks are missed; None if there are none."""
+    equal = next(k for k in range(n_words + 1) if k / n_words >= how.similarity)
+    if not equal:
+        return tuple(range(n_words))
+    laid = {
+        frozenset(at + i for i, bit in enumerate(mask) if bit == "1")
+        for mask in masks_of(n_words, how)
+        for at in range(n_words - len(mask) + 1)
+    }
+    # Fewer other words are a part of some pattern of the most.
+    for places in combinations(range(n_words), n_words - equal):
+        if not any(seed.isdisjoint(places) for seed in laid):
+            return places
+    return None
+
 
 def masks_of(n_words: int, how: Overlap) -> tuple[str, ...]:
     """The masks that hit an item of `n_words` words wherever `how` admits other words."""
     if n_words <= EXACT:
         return ("1" * n_words,) if n_words else ()
+    if n_words == 5:
+        return MASKS_OF_FIVE
     if min(n_words, how.window) < LONG:
         return how.masks
     return tuple(m for m in how.masks if m not in MASKS_OF_SHORT)
@@ -154,7 +187,7 @@ def _block_matches(
         laid.where(shared >= width)
         .withColumn("equal", equal)
         .withColumn("best", _best_window(F.col("equal"), width) / width)
-        .where(F.col("best") >= F.when(F.col("item_words_n") <= EXACT, 1.0).otherwise(how.similarity))
+        .where(F.col("best") >= how.similarity)
         .select(
             "doc_id",
             "row_key",

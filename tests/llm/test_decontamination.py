@@ -13,7 +13,7 @@ def words_of(text):
 
 
 def plain_leaks(docs, items, how=d.Overlap()):
-    """Every item on every diagonal that shares a five-word seed of a mask."""
+    """Every item on every diagonal that shares a seed of a mask."""
     found = {}
     for item_id, text in items:
         item = words_of(text)
@@ -23,11 +23,11 @@ def plain_leaks(docs, items, how=d.Overlap()):
             for diagonal in range(-len(item) + 1, len(words)):
                 pairs = [(words[diagonal + i], w) for i, w in enumerate(item) if 0 <= diagonal + i < len(words)]
                 equal = [a == b for a, b in pairs]
-                if len(equal) < width or width < min(map(len, how.masks)):
+                if len(equal) < width:
                     continue
                 hit = any(
                     all(equal[i + j] for j, bit in enumerate(m) if bit == "1")
-                    for m in how.masks
+                    for m in d.masks_of(len(item), how)
                     for i in range(len(equal) - len(m) + 1)
                 )
                 best = max(sum(equal[i : i + width]) for i in range(len(equal) - width + 1))
@@ -136,7 +136,7 @@ def test_every_admitted_pattern_is_found(spark, make_docs):
                 words = [f"x{j}" if j in places else w for j, w in enumerate(text.split())]
                 equal = [j not in places for j in range(n)]
                 best = max(sum(equal[i : i + width]) for i in range(n - width + 1))
-                if best >= (0.8 * width if n > 5 else n):
+                if best >= 0.8 * width:
                     expected.add((len(docs), n))
                 docs.append((len(docs), " ".join(["before", "it", *words, "and", "after"])))
     benchmark = spark.createDataFrame(items, "item_id long, text string")
@@ -146,3 +146,18 @@ def test_every_admitted_pattern_is_found(spark, make_docs):
     for low, high in ((1, 1), (4, 5), (6, 6), (7, 7), (8, 14)):
         some = benchmark.where(f"item_id BETWEEN {low} AND {high}")
         assert rows_of(d.leaks(frame, some)).keys() == {x for x in expected if low <= x[1] <= high}
+
+
+@pytest.mark.parametrize(
+    "how",
+    [{"similarity": 0.7}, {"masks": d.MASKS_OF_LONG}, {"similarity": 0.0}, {"similarity": 0.75}],
+)
+def test_rules_that_masks_do_not_cover_are_refused(how):
+    with pytest.raises(ValueError, match="no mask survives"):
+        d.Overlap(**how)
+
+
+def test_stricter_rules_are_covered():
+    d.Overlap(similarity=0.9)
+    d.Overlap(window=8, similarity=0.85)
+    d.Overlap(similarity=1.0, masks=("11111",))
