@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.operators import quality
+from martloom.operators import profile, quality
 from martloom.queries.merges import CUSTOMER, CUSTOMER_DIM_SQL, customer_dim
 from martloom.operators.schema import columns
 from martloom.queries.registry import query, read
-from martloom.sources.scratch import stored
+from martloom.sources import catalog
+from martloom.sources.scratch import scratch_dir, stored
 
 _TABLES = ("customer", "orders", "lineitem", "supplier", "events")
 
@@ -135,6 +138,58 @@ def fact_dim_join_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(_ORDERS_WITH_CUSTOMERS)
+def fact_dim_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts and dimension kept in buckets of the key, which meet without a shuffle."""
+    database = f"martloom_{uuid.uuid4().hex}"
+    catalog.create_database(spark, database, scratch_dir(spark, "bucketed"))
+    try:
+        keys = ["customer_id"]
+        facts = catalog.write_bucketed(_orders(spark, sf_dir), database, "facts", keys, 8)
+        dim = catalog.write_bucketed(customer_dim(spark, sf_dir), database, "dim", keys, 8)
+        joined = quality.fact_dim_join(facts, dim, keys, ["status", "priority"], broadcast_right=False)
+        return stored(joined)
+    finally:
+        catalog.drop_database(spark, database)
+
+
+_PROFILED = {"o_orderkey": "number", "total": "number", "o_orderpriority": "text", "ordered": "text"}
+
+
+def _profile_sql(column: str, kind: str) -> str:
+    number, text = (column, "NULL") if kind == "number" else ("NULL", column)
+    return f"""
+        SELECT '{column}' AS column_name, count(*) AS n_rows, count(*) - count({column}) AS n_nulls,
+               CAST(min({text}) AS VARCHAR) AS least, CAST(max({text}) AS VARCHAR) AS greatest,
+               CAST(min({number}) AS DECIMAL(38,10)) AS least_number,
+               CAST(max({number}) AS DECIMAL(38,10)) AS greatest_number FROM o"""
+
+
+@query(f"""
+    WITH o AS (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS total, o_orderpriority,
+                      CASE o_orderstatus WHEN 'P' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS ordered
+               FROM orders) {" UNION ALL ".join(_profile_sql(c, k) for c, k in _PROFILED.items())}""")
+def partition_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of parts, of which the last comes later, added up to that of the whole table."""
+    root = scratch_dir(spark, "profiles")
+    status = F.col("o_orderstatus")
+    orders = read(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_totalprice").cast("decimal(12,2)").alias("total"),
+        "o_orderpriority",
+        F.when(status != "P", F.col("o_orderdate").cast("date")).alias("ordered"),
+        status,
+    )
+    parts = {}
+    for part, chosen in (("F", status == "F"), ("O", status == "O"), ("rest", ~status.isin("F", "O"))):
+        parts[part] = f"{root}/rows/{part}"
+        orders.where(chosen).drop("o_orderstatus").write.parquet(parts[part])
+        schema = orders.drop("o_orderstatus").schema
+        profile.profile_new_parts(spark, parts, schema, list(_PROFILED), f"{root}/profiles")
+    whole = profile.merged(profile.kept_profiles(spark, f"{root}/profiles"))
+    return whole.drop("distinct_values")
+
+
 @query("""
     SELECT o_custkey AS customer_id, count(*) AS n_facts FROM orders
     WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) GROUP BY o_custkey""")

@@ -28,6 +28,7 @@ from martloom.sources.tables import (
     replace_partition as replace_one,
     replace_touched_partitions,
     seed_table,
+    slices_named_in,
     truncate_table,
 )
 
@@ -108,6 +109,24 @@ def partition_pruned_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_slice(read_table(spark, _ORDERS, root), _SECOND)
 
 
+@query(f"""
+    SELECT * FROM (
+        {_ORDERS_SQL}, DATE '{_FIRST}' AS batch_date FROM orders
+        UNION ALL {_ORDERS_SQL}, DATE '{_SECOND}' AS batch_date FROM orders)
+    WHERE batch_date = DATE '{_SECOND}' AND org_code IN (SELECT o_orderstatus FROM orders
+        GROUP BY o_orderstatus HAVING count(*) < 0.3 * (SELECT count(*) FROM orders))""")
+def partition_slice_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that another table names: late ones of organisations with few orders."""
+    root = scratch_dir(spark, "slices")
+    for batch in (_FIRST, _SECOND):
+        append_rows(_orders(spark, sf_dir, batch), _ORDERS, root)
+    table = read_table(spark, _ORDERS, root)
+    sizes = table.groupBy("org_code", "batch_date").agg(F.count(F.lit(1)).alias("n"))
+    n_rows = read(spark, sf_dir, "orders").count()
+    few = stored(sizes).where((F.col("n") < 0.3 * n_rows) & (F.col("batch_date") == F.lit(_SECOND)))
+    return slices_named_in(table, few, ["org_code", "batch_date"])
+
+
 @query(f"""
     {_ORDERS_SQL}, DATE '{_FIRST}' AS batch_date FROM orders
     UNION ALL {_ORDERS_SQL}, DATE '{_FIRST}' AS batch_date FROM orders WHERE o_orderstatus = 'F'""")

@@ -47,6 +47,20 @@ def insert_rows(df: DataFrame, database: str, table: Table) -> None:
     ordered.write.mode("append").insertInto(quoted(database, table.name))
 
 
+def write_bucketed(
+    df: DataFrame, database: str, name: str, keys: Sequence[str], buckets: int
+) -> DataFrame:
+    """A table whose rows lie in hash buckets of their keys, in order; read back by name.
+
+    Two such tables with equal keys and numbers of buckets meet in a join on the keys without a shuffle
+    of either, however often they are joined; the shuffle is paid once, here.
+    """
+    table = quoted(database, name)
+    rows = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+    rows.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def truncate_tables(spark: SparkSession, database: str, tables: Iterable[Table]) -> dict[str, str]:
     """Empty the tables that exist; returns what could not be emptied, and why."""
     failed = {}

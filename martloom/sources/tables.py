@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from martloom.operators.mapping import timestamp
 from martloom.operators.schema import conform
+from martloom.operators.sizing import fits_broadcast
 
 
 @dataclass(frozen=True)
@@ -127,6 +128,19 @@ def batch_slice(df: DataFrame, batch_date: date, column: str = "batch_date") ->
     return df.where(F.col(column) == F.lit(batch_date))
 
 
+def slices_named_in(df: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of the batches that a table names, by partition columns of `df`.
+
+    The list of batches is measured; where it is small, and only then, it is broadcast. If it is
+    itself chosen by a comparison, the scan then takes the partitions from it when it runs: the
+    other folders are not read.
+    """
+    names = wanted.select(*columns).distinct()
+    if fits_broadcast(names):
+        names = F.broadcast(names)
+    return df.join(names, list(columns), "left_semi").select(*df.columns)
+
+
 def day_slice(df: DataFrame, day: date, column: str) -> DataFrame:
     """Rows of one day by a timestamp column, as a range the scan can push down."""
     ts_type = df.schema[column].dataType

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from martloom.operators.append import new_facts
 from martloom.operators.merge import Scd1, Scd2, scd1_upsert, scd2_merge
-from martloom.operators.quality import orphans
+from martloom.operators.quality import fact_dim_join, orphans
 from martloom.operators.schema import columns
 from martloom.operators.skew import lookup_join
 from martloom.plans.policy_mart import CONTRACTS
 from martloom.plans.staging import stage
 from martloom.queries import QUERIES
+from martloom.sources import catalog
 from martloom.sources.delimited import scan_delimited
+from martloom.sources.tables import slices_named_in
 
 DAY = date(2026, 3, 31)
 DIM = columns(
@@ -109,3 +111,27 @@ def test_a_lookup_that_must_not_be_broadcast_is_not(dim, batch):
 @pytest.mark.parametrize("name", ["append_new_facts_shuffled", "fact_dim_join_hot_keys"])
 def test_queries_run_the_plan_they_are_named_for(spark, name):
     assert "SortMergeJoin" in plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path, dim):
+    catalog.create_database(spark, "bucketed", str(tmp_path / "db"))
+    try:
+        rows = spark.range(0, 3000, 2).select(F.col("id").alias("k"), F.lit("b").alias("note"))
+        facts = catalog.write_bucketed(rows, "bucketed", "facts", ["k"], 4)
+        versions = catalog.write_bucketed(dim, "bucketed", "dim", ["k"], 4)
+        joined = fact_dim_join(facts, versions, ["k"], ["v"], broadcast_right=False)
+        plan = plan_of(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
+        assert joined.count() == 500
+    finally:
+        catalog.drop_database(spark, "bucketed")
+
+
+def test_batches_named_by_a_table_prune_the_scan_when_it_runs(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    spark.range(100).selectExpr("id", "id % 10 AS batch").write.partitionBy("batch").parquet(path)
+    spark.range(10).selectExpr("CAST(id AS INT) AS batch", "100 - id AS rank").write.parquet(str(tmp_path / "list"))
+    wanted = spark.read.parquet(str(tmp_path / "list")).where("rank < 93")
+    found = slices_named_in(spark.read.parquet(path), wanted, ["batch"])
+    assert "dynamicpruning" in plan_of(found) and "left_semi" not in plan_of(found)
+    assert sorted(r.batch for r in found.select("batch").distinct().collect()) == [8, 9]
