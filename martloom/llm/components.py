@@ -1,7 +1,9 @@
 """Connected components by alternating large-star and small-star rounds.
 
 Each round is two joins on edges that shrink towards stars; the number of rounds grows with the
-logarithm of the graph. Edges live in tables of the shared folder, never on the driver.
+logarithm of the graph. Edges live in tables of the shared folder, never on the driver. The least
+neighbours are written before they are joined, so that both sides of the join are plain shuffles and a
+node with very many edges is split over tasks.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above a node is linked to the least of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
@@ -31,7 +33,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(down.groupBy("a").agg(F.min("b").alias("m")))
     moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 

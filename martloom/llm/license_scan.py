@@ -12,6 +12,10 @@ moves the rest of a passage to the next one; and what has votes enough is verifi
   3e of its 3-grams are lost, so diagonals within e of each other that share fewer than
   n - 2 - 3e of them need no check, and no passage that passes the check is missed.
 
+A document's diagonals are verified in ranges of `RANGE`. A vote also goes to the neighbouring range
+if a place there may depend on it, and a range returns the places on its own diagonals: what one call
+gets is bounded, however many passages a document repeats.
+
 The words compared travel with the hit, so texts are not shuffled. Templates are a fixed table
 of this module, hence the broadcast.
 
@@ -41,6 +45,8 @@ from martloom.llm.words import (
 )
 
 FUZZY_WORDS = 8
+# Diagonals of a document that are verified together.
+RANGE = 4096
 PHRASE_GRAM, PASSAGE_GRAM = 2, 3
 
 
@@ -132,14 +138,14 @@ def word_hashes(text: str) -> np.ndarray:
 
 
 def _template_grams(spark: SparkSession, templates: tuple[Template, ...]) -> DataFrame:
-    """(gram, template, t, n, slack): every gram of every template."""
+    """(gram, template, t, n, slack, reach): every gram of every template."""
     rows = []
     for number, template in enumerate(templates):
         hashes = word_hashes(template.text)
         n, k = len(hashes), gram_of(len(hashes))
         for t, gram in enumerate(gram_hashes(hashes, k).view(np.int64).tolist()):
-            rows.append((gram, number, t, n, edits_allowed(n)))
-    return spark.createDataFrame(rows, "gram long, template int, t int, n int, slack int")
+            rows.append((gram, number, t, n, edits_allowed(n), reach(n)))
+    return spark.createDataFrame(rows, "gram long, template int, t int, n int, slack int, reach int")
 
 
 def _grams(docs: DataFrame) -> DataFrame:
@@ -195,39 +201,74 @@ def align(template: list[int], words: list[int]) -> tuple[int, int, int]:
     return cost[end], begin[end], end
 
 
-def verified_spans(votes: list[dict], template: list[int]) -> list[tuple[int, int, float]]:
-    """(first word, end, similarity) of the template's places, from the diagonals of one document:
-    dicts of `diagonal`, `hits` (template positions), `first` and `window` (words from `first`)."""
+def _whole(hits: list[int], n_grams: int, vote: dict, template: list[int]) -> bool:
+    """Whether the template stands word by word on the vote's own diagonal."""
+    at = vote["diagonal"] - vote["first"]
+    return len(hits) == n_grams and list(vote["window"][at : at + len(template)]) == template
+
+
+def verified_places(votes: list[dict], template: list[int]) -> list[tuple[int, int, int, float]]:
+    """(diagonal, first word, end, similarity) of the template's places, from diagonals of one
+    document: dicts of `diagonal`, `hits` (template positions), `first` and `window` (words from
+    `first`). Of places that overlap, one is left out if another is more similar, or as similar
+    and earlier. Linear in the votes: what a place depends on lies within `reach` diagonals."""
     n = len(template)
     slack, n_grams = edits_allowed(n), n - gram_of(n) + 1
+    votes = sorted(votes, key=lambda v: v["diagonal"])
+    hits = [set(v["hits"]) for v in votes]
     if not slack:
         return [
-            (v["diagonal"], v["diagonal"] + n, 1.0)
-            for v in votes
-            if len(set(v["hits"])) == n_grams and list(v["window"]) == template
+            (v["diagonal"], v["diagonal"], v["diagonal"] + n, 1.0)
+            for v, own in zip(votes, hits)
+            if _whole(own, n_grams, v, template)
         ]
-    found: list[tuple[int, int, float]] = []
-    votes = sorted(votes, key=lambda v: v["diagonal"])
-    for middle in votes:
-        near = [v for v in votes if abs(v["diagonal"] - middle["diagonal"]) <= slack]
-        if len({t for v in near for t in v["hits"]}) < max(n_grams - PASSAGE_GRAM * slack, 1):
+    least = max(n_grams - PASSAGE_GRAM * slack, 1)
+    places: list[tuple[int, int, int, float]] = []
+    low = high = 0
+    for i, middle in enumerate(votes):
+        at = middle["diagonal"]
+        while votes[low]["diagonal"] < at - slack:
+            low += 1
+        while high < len(votes) and votes[high]["diagonal"] <= at + slack:
+            high += 1
+        if len(set().union(*hits[low:high])) < least:
+            continue
+        if max(range(low, high), key=lambda j: (len(hits[j]), -j)) != i:
             continue
-        if max(near, key=lambda v: (len(v["hits"]), -v["diagonal"])) is not middle:
+        if _whole(hits[i], n_grams, middle, template):
+            places.append((at, at, at + n, 1.0))
             continue
         edits, first, end = align(template, list(middle["window"]))
         if edits <= slack:
-            place = (middle["first"] + first, middle["first"] + end, 1 - edits / n)
-            if not found or place[0] >= found[-1][1]:
-                found.append(place)
-            elif place[2] > found[-1][2]:
-                found[-1] = place
-    return found
+            places.append((at, middle["first"] + first, middle["first"] + end, 1 - edits / n))
+
+    def outdone(i: int) -> bool:
+        """By a place that shares words with this one."""
+        own, (_, first, end, similarity) = (-places[i][3], places[i][1], i), places[i]
+        for step in (-1, 1):
+            j = i + step
+            while 0 <= j < len(places) and abs(places[j][0] - places[i][0]) <= n + 2 * slack:
+                other = places[j]
+                if other[1] < end and first < other[2] and (-other[3], other[1], j) < own:
+                    return True
+                j += step
+        return False
+
+    return [p for i, p in enumerate(places) if not outdone(i)]
+
+
+def reach(n_words: int) -> int:
+    """Diagonals beside its own on which a place depends: those of places that may overlap it,
+    and of the votes that these take in."""
+    slack = edits_allowed(n_words)
+    return n_words + 3 * slack if slack else 0
 
 
 def license_spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
     """(doc_id, row_key, label, base, first_word, end_word, similarity) of every verified span."""
     spark = docs.sparkSession
     at = F.when(F.col("i") < F.col("n_pairs"), F.col("i")).otherwise(F.col("i") - F.col("n_pairs"))
+    ranges = [F.floor((F.col("diagonal") + by * F.col("reach")) / RANGE) for by in (-1, 0, 1)]
     diagonal = F.col("p") - F.col("t")
     first = F.greatest(diagonal - F.col("slack"), F.lit(0))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -244,10 +285,17 @@ def license_spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES)
             diagonal.alias("diagonal"),
             first.alias("first"),
             F.slice("words", first + 1, diagonal + F.col("n") + F.col("slack") - first).alias("window"),
+            "reach",
         )
         .groupBy("doc_id", "row_key", "template", "diagonal")
-        .agg(F.collect_set("t").alias("hits"), F.first("first").alias("first"), F.first("window").alias("window"))
-        .groupBy("doc_id", "row_key", "template")
+        .agg(
+            F.collect_set("t").alias("hits"),
+            F.first("first").alias("first"),
+            F.first("window").alias("window"),
+            F.first("reach").alias("reach"),
+        )
+        .withColumn("range", F.explode(F.array_distinct(F.array(*ranges))))
+        .groupBy("doc_id", "row_key", "template", "range")
         .agg(F.collect_list(F.struct("diagonal", "hits", "first", "window")).alias("votes"))
     )
     known = [word_hashes(t.text).view(np.int64).tolist() for t in templates]
@@ -256,10 +304,12 @@ def license_spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES)
         names = ["doc_id", "row_key", "label", "base", "first_word", "end_word", "similarity"]
         for batch in batches:
             rows, out = [], []
-            for i, (number, votes) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3))):
-                for place in verified_spans(votes.as_py(), known[number]):
-                    rows.append(i)
-                    out.append((templates[number].label, templates[number].base, *place))
+            numbers, ranges = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for i, (number, own, votes) in enumerate(zip(numbers, ranges, batch.column(4))):
+                for diagonal, *place in verified_places(votes.as_py(), known[number]):
+                    if diagonal // RANGE == own:
+                        rows.append(i)
+                        out.append((templates[number].label, templates[number].base, *place))
             values = list(zip(*out)) if out else [[]] * 5
             index = pa.array(rows, pa.int64())
             types = [pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.float64()]
