@@ -14,8 +14,11 @@ For every record and language l
   is smoothed towards all records; a record's own count is taken out. A host with few records
   thus follows its suffix, and one without any follows the whole corpus.
 
+A text that is itself labelled would be judged by what it taught. Labelled texts may therefore be dealt
+to folds: each is scored by the model of the other folds, and unlabelled ones by the model of all.
+
 All counts are grouped aggregates with partial sums before the shuffle. What reaches the driver
-is the model: BUCKETS 4-byte figures for every labelled language, all of which are kept. A record's
+is the model: BUCKETS 4-byte figures for every labelled language (and fold), all of which are kept. A record's
 scores, 8 bytes for each language, are stored between the two passes; counts by language hold only
 the languages that occur, and no plan grows with the number of languages.
 
@@ -97,31 +100,50 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def train(texts: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages, in order, and log P(bucket | language)."""
-    counts = stored(gram_counts(texts))
+def train(texts: DataFrame, folds: int = 0) -> tuple[list[str], np.ndarray]:
+    """Languages, in order, and log P(bucket | language). With `folds`, texts have a `fold` (from 0 to
+    folds - 1), and there is a model for each fold, learned from the others, and last one of all."""
+    fold = F.col("fold") if folds else F.lit(0)
+    keyed = texts.where("lang IS NOT NULL AND lang <> ''").select(
+        F.concat_ws(":", fold.cast("int"), "lang").alias("lang"), "text"
+    )
+    counts = stored(
+        gram_counts(keyed).select(
+            F.regexp_extract("lang", r"(?s)^\d+:(.*)$", 1).alias("lang"),
+            F.substring_index("lang", ":", 1).cast("int").alias("fold"),
+            "bucket",
+            "n",
+        )
+    )
     langs = sorted(row["lang"] for row in counts.select("lang").distinct().collect())
-    model = np.zeros((len(langs), BUCKETS), np.float32)
+    model = np.zeros((folds + 1, len(langs), BUCKETS), np.float32)
     index = {lang: i for i, lang in enumerate(langs)}
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        own = np.ones(BUCKETS, np.float64)
-        np.add.at(own, rows["bucket"], rows["n"])
-        row = np.log(own / own.sum()).astype(np.float32)
-        return pd.DataFrame({"lang": rows["lang"].iloc[:1], "row": [row.tobytes()]})
-
-    rows = counts.groupBy("lang").applyInPandas(learn, "lang string, row binary")
+        out = []
+        for without in range(folds + 1):
+            part = rows[rows["fold"] != without] if without < folds else rows
+            own = np.ones(BUCKETS, np.float64)
+            np.add.at(own, part["bucket"], part["n"])
+            row = np.log(own / own.sum()).astype(np.float32)
+            out.append((rows["lang"].iloc[0], without, row.tobytes()))
+        return pd.DataFrame(out, columns=["lang", "without", "row"])
+
+    rows = counts.groupBy("lang").applyInPandas(learn, "lang string, without int, row binary")
     for row in rows.toLocalIterator():
-        model[index[row["lang"]]] = np.frombuffer(row["row"], np.float32)
-    return langs, model
+        model[row["without"], index[row["lang"]]] = np.frombuffer(row["row"], np.float32)
+    return langs, model if folds else model[0]
 
 
 def text_scores(records: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
     """`records` with `scores`, the log likelihood of the text under each language, instead of
-    the text."""
+    the text. With models by fold, a record's `fold` picks one: null the one of all texts."""
     keep = [c for c in records.columns if c != "text"]
-    source = records.select(*keep, "text")
-    shared = records.sparkSession.sparkContext.broadcast(model)
+    by_fold = model.ndim == 3
+    models = model if by_fold else model[None]
+    fold = F.coalesce("fold", F.lit(len(models) - 1)) if by_fold else F.lit(0)
+    source = records.select(*keep, "text", fold.cast("int").alias("_model"))
+    shared = records.sparkSession.sparkContext.broadcast(models)
     n_langs = len(langs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,14 +152,17 @@ def text_scores(records: DataFrame, langs: list[str], model: np.ndarray) -> Data
             step = max(1, SCORES_PER_BATCH // n_langs)
             for first in range(0, batch.num_rows, step):
                 part = batch.slice(first, step)
+                which = part.column(len(keep) + 1).to_numpy()
                 parts = [np.zeros((0, n_langs))]
                 for block in blocks(part.column(len(keep))):
                     buckets, inside = _buckets(block)
                     scores = np.zeros((block.rows, n_langs))
-                    for i in range(n_langs):
-                        scores[:, i] = block.per_row(
-                            np.where(inside, table[i][buckets], 0).astype(np.float64)
-                        )
+                    own = which[block.first : block.first + block.rows]
+                    for k in np.unique(own):
+                        rows = own == k
+                        for i in range(n_langs):
+                            found = np.where(inside, table[k][i][buckets], 0).astype(np.float64)
+                            scores[rows, i] = block.per_row(found)[rows]
                     parts.append(scores)
                 scores = np.concatenate(parts)
                 lists = pa.ListArray.from_arrays(
@@ -147,7 +172,7 @@ def text_scores(records: DataFrame, langs: list[str], model: np.ndarray) -> Data
                     [*part.columns[: len(keep)], lists], names=[*keep, "scores"]
                 )
 
-    return source.mapInArrow(run, source.drop("text").schema.add("scores", ArrayType(DoubleType())))
+    return source.mapInArrow(run, source.drop("text", "_model").schema.add("scores", ArrayType(DoubleType())))
 
 
 def page_text(html: Column) -> Column:
@@ -157,7 +182,9 @@ def page_text(html: Column) -> Column:
 
 
 def declared_language(html: Column) -> Column:
-    tag = F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b", 1)
+    """The `lang` of the html tag, if that is no part of a comment."""
+    shown = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", " ")
+    tag = F.regexp_extract(shown, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b", 1)
     return F.nullif(F.lower(tag), F.lit(""))
 
 
@@ -188,16 +215,32 @@ def _join_counts(scored: DataFrame, counts: DataFrame, key: str, name: str) -> D
 
 
 def identify(records: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
-    """`records` (any columns, and text, declared, host, suffix) with text_lang, lang and
-    posterior instead of text."""
+    """`records` (any columns, and text, declared, host, suffix; fold with models by fold) with
+    text_lang, lang and posterior instead of text and of own columns of these names."""
+    own = [c for c in records.columns if c.lower() not in ("text", "text_lang", "lang", "posterior")]
     if not langs:
         none = F.lit(None).cast("string")
-        return records.drop("text").select(
-            "*", none.alias("text_lang"), none.alias("lang"), F.lit(None).cast("double").alias("posterior")
+        return records.select(
+            *[F.col(f"`{c}`") for c in own],
+            none.alias("text_lang"),
+            none.alias("lang"),
+            F.lit(None).cast("double").alias("posterior"),
         )
     n_langs = len(langs)
     names = F.from_json(F.lit(json.dumps(langs)), "array<string>")
-    scored = text_scores(records, langs, model)
+    # Other columns go along as one value, so that they cannot clash with those made here.
+    used = ["declared", "host", "suffix"]
+    other = [c for c in own if c not in used]
+    scored = text_scores(
+        records.select(
+            F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in other]).alias("record"),
+            *used,
+            *(["fold"] if model.ndim == 3 else []),
+            "text",
+        ),
+        langs,
+        model,
+    )
     best = F.array_position("scores", F.array_max("scores")).cast("int") - 1
     scored = stored(scored.withColumn("guess", best))
 
@@ -236,10 +279,11 @@ def identify(records: DataFrame, langs: list[str], model: np.ndarray) -> DataFra
     fused = fused.withColumn("top", F.array_max("logs"))
     place = F.array_position("logs", F.col("top")).cast("int") - 1
     rest = F.aggregate("logs", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))
-    columns = [c for c in records.columns if c != "text"]
+    # A projection of its own: within a lambda a name may mean a column being made beside it.
+    fused = fused.withColumn("posterior", F.try_divide(F.lit(1.0), rest))
     return fused.select(
-        *columns,
+        *[F.col(c) if c in used else F.col("record").getField(c).alias(c) for c in own],
         F.get(names, F.col("guess")).alias("text_lang"),
         F.get(names, place).alias("lang"),
-        F.try_divide(F.lit(1.0), rest).alias("posterior"),
+        "posterior",
     )

@@ -12,8 +12,8 @@ moves the rest of a passage to the next one; and what has votes enough is verifi
   3e of its 3-grams are lost, so diagonals within e of each other that share fewer than
   n - 2 - 3e of them need no check, and no passage that passes the check is missed.
 
-A document's diagonals are verified in ranges of `RANGE`. A vote also goes to the neighbouring range
-if a place there may depend on it, and a range returns the places on its own diagonals: what one call
+A document's diagonals are verified in ranges of `RANGE`. A vote also goes to other ranges if a
+place there may depend on it, and a range returns the places on its own diagonals: what one call
 gets is bounded, however many passages a document repeats.
 
 The words compared travel with the hit, so texts are not shuffled. Templates are a fixed table
@@ -268,7 +268,7 @@ def license_spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES)
     """(doc_id, row_key, label, base, first_word, end_word, similarity) of every verified span."""
     spark = docs.sparkSession
     at = F.when(F.col("i") < F.col("n_pairs"), F.col("i")).otherwise(F.col("i") - F.col("n_pairs"))
-    ranges = [F.floor((F.col("diagonal") + by * F.col("reach")) / RANGE) for by in (-1, 0, 1)]
+    first_range, last_range = [F.floor((F.col("diagonal") + by * F.col("reach")) / RANGE) for by in (-1, 1)]
     diagonal = F.col("p") - F.col("t")
     first = F.greatest(diagonal - F.col("slack"), F.lit(0))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -294,7 +294,7 @@ def license_spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES)
             F.first("window").alias("window"),
             F.first("reach").alias("reach"),
         )
-        .withColumn("range", F.explode(F.array_distinct(F.array(*ranges))))
+        .withColumn("range", F.explode(F.sequence(first_range, last_range)))
         .groupBy("doc_id", "row_key", "template", "range")
         .agg(F.collect_list(F.struct("diagonal", "hits", "first", "window")).alias("votes"))
     )

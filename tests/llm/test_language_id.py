@@ -111,7 +111,7 @@ def test_page_parts(spark):
     html = "<!-- <html lang='xx'> --><HTML class=a lang = 'DE-at'><script>var en='</p>';</script>a<b>b</b><style>x{}</style>"
     row = spark.createDataFrame([(html, "HTTP://u@Www.Ex.co.UK:80/p.fr?x")], "html string, url string").select(
         lang.page_text(F.col("html")).alias("text"),
-        lang.declared_language(F.regexp_replace("html", "(?s)<!--.*?-->", "")).alias("declared"),
+        lang.declared_language(F.col("html")).alias("declared"),
         lang.host_of(F.col("url")).alias("host"),
     ).first()
     assert row.text.split() == ["a", "b"] and row.declared == "de" and row.host == "www.ex.co.uk"
@@ -131,3 +131,47 @@ def test_every_labelled_language_is_learned(spark, make_docs):
     assert langs == [f"l{i:03}" for i in range(300)] and table.shape == (300, lang.BUCKETS)
     found = {r.doc_id: (r.text_lang, r.lang) for r in lang.identify(records(docs), langs, table).collect()}
     assert found == {i: (f"l{i:03}", f"l{i:03}") for i in range(300)}
+
+
+def test_columns_named_like_the_operators_own(spark, model):
+    """They stay as they are, but for those named like results, which are replaced."""
+    names = ["guess", "scores", "host_n", "suffix_by", "logs", "top", "_key", "n", "record", "fold", "_model", "a.b"]
+    fields = ", ".join(f"`{n}` string" for n in names)
+    rows = [(i, "the and of ing tion that with here", "en", "b.com", "com", "mine", *names) for i in range(3)]
+    frame = spark.createDataFrame(
+        rows, f"doc_id long, text string, declared string, host string, suffix string, lang string, {fields}"
+    )
+    for langs, table in (model, ([], model[1])):
+        found = lang.identify(frame, langs, table).collect()
+        assert [tuple(r[n] for n in names) for r in found] == [tuple(names)] * 3
+        assert {r["lang"] for r in found} == ({"en"} if langs else {None})
+
+
+def test_a_text_is_not_judged_by_itself(spark):
+    """Two labels on one vocabulary each; a text with a wrong label agrees with the other texts of its
+    words once its own fold is left out, and its copies with it."""
+    rows = [(i, "der die und das von einer ver schen", "de", i % 2) for i in range(4)]
+    rows += [(10 + i, "the and of ing tion that with here", "en", i % 2) for i in range(4)]
+    rows += [(20 + i, "qqq zzz xxx der und", "en", 0) for i in range(50)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string, lang string, fold int")
+    langs, models = lang.train(texts, folds=2)
+    assert langs == ["de", "en"] and models.shape == (3, 2, lang.BUCKETS)
+    whole = lang.train(texts)
+    assert (whole[1] == models[2]).all()
+    for k in (0, 1):
+        assert (lang.train(texts.where(F.col("fold") != k))[1] == models[k]).all()
+    scored = lang.text_scores(texts.withColumn("fold", F.when(F.col("doc_id") != 21, F.col("fold"))), langs, models)
+    best = {r.doc_id: langs[list(r.scores).index(max(r.scores))] for r in scored.collect()}
+    assert best[20] == "de" and best[21] == "en"
+
+
+def test_labels_with_odd_characters(spark):
+    texts = spark.createDataFrame([("a:b", "one two"), ("\n", "three four")], "lang string, text string")
+    assert lang.train(texts)[0] == ["\n", "a:b"]
+
+
+def test_declaration_in_a_comment_does_not_count(spark):
+    pages = ["<!-- <html lang=en> --><html lang=fr>", "<!-- <html lang=en>", "<html lang=es><!-- <html lang=en> -->", ""]
+    frame = spark.createDataFrame([(p,) for p in pages], "html string")
+    found = [r[0] for r in frame.select(lang.declared_language(F.col("html"))).collect()]
+    assert found == ["fr", None, "es", None]

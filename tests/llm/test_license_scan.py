@@ -111,3 +111,50 @@ def test_alignment_is_the_least_number_of_edits():
         cost, first, end = s.align(a, b)
         assert cost == min(distance(a, b[i:j]) for i in range(len(b) + 1) for j in range(i, len(b) + 1))
         assert distance(a, b[first:end]) == cost
+
+
+def spans_of(docs):
+    rows = s.license_spans(docs).collect()
+    return sorted((r.doc_id, r.label, r.base, r.first_word, r.end_word, r.similarity) for r in rows)
+
+
+def test_ranges_of_diagonals_give_the_same_spans(make_docs, monkeypatch):
+    """Passages edited, cut short and run into each other, over many ranges or one."""
+    rng = random.Random(5)
+    texts = []
+    for _ in range(8):
+        words = []
+        for _ in range(30):
+            w = rng.choice(LONG).text.split()
+            for at in sorted(rng.sample(range(len(w)), rng.randrange(4)), reverse=True):
+                w[at : at + 1] = rng.choice([[], ["x"], [w[at], "y"]])
+            words += w[rng.randrange(3) :] + ["z"] * rng.choice([0, 0, 1, 7])
+        texts.append(" ".join(words))
+    docs = make_docs(list(enumerate(texts)))
+    monkeypatch.setattr(s, "RANGE", 1 << 30)
+    whole = spans_of(docs)
+    assert any(0.8 <= row[5] < 1 for row in whole)
+    for size in (64, 7):
+        monkeypatch.setattr(s, "RANGE", size)
+        assert spans_of(docs) == whole
+
+
+def test_a_document_of_one_passage_over_and_over(make_docs):
+    passage, n = "redistribution and use in source and binary forms with or without modification are " \
+        "permitted provided that the following conditions are met", 20_000
+    found = spans_of(make_docs([(1, f"{passage} " * n)]))
+    size = len(passage.split())
+    assert found == [(1, "bsd", False, i * size, (i + 1) * size, 1.0) for i in range(n)]
+
+
+def test_of_overlapping_places_the_best_stays():
+    template = list(range(100, 120))
+    words = template[:18] + template + [0, 0, 0] + template[3:]
+
+    def vote(at):
+        first = max(at - 4, 0)
+        hits = [t for t in range(18) if 0 <= at + t <= len(words) - 3 and words[at + t : at + t + 3] == template[t : t + 3]]
+        return {"diagonal": at, "hits": hits, "first": first, "window": words[first : at + 24]}
+
+    votes = [v for v in map(vote, range(len(words))) if v["hits"]]
+    assert [p[1:] for p in s.verified_places(votes, template)] == [(0, 18, 0.9), (18, 38, 1.0), (38, 58, 0.85)]
