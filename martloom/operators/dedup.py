@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
+from martloom.operators.sizing import Size, is_small, row_width, worth_measuring
+
 _RANK = "_rank"
 
 
@@ -51,10 +53,35 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.where(F.col("n_rows") > 1)
 
 
+def _refuse(keys: Sequence[str], shown: Sequence[tuple]) -> None:
+    raise DuplicateKeys(f"more than one source row for {tuple(keys)}, such as {list(shown)}")
+
+
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`df` itself, or DuplicateKeys with a few of the offenders. Runs a job on the keys only."""
     offenders = duplicate_keys(df.select(*keys), keys).limit(5).collect()
     if offenders:
-        shown = [tuple(row[k] for k in keys) for row in offenders]
-        raise DuplicateKeys(f"more than one source row for {tuple(keys)}, such as {shown}")
+        _refuse(keys, [tuple(row[k] for k in keys) for row in offenders])
     return df
+
+
+def measured_unique(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether `df` is measured small enough to be broadcast, or DuplicateKeys with one offender:
+    one job where the gate and the measure would each compute `df`. Rows are counted and their
+    bytes added up before the shuffle, so only keys travel."""
+    if not worth_measuring(df):
+        require_unique(df, keys)
+        return False
+    per_key = df.groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(row_width(df)).alias("_bytes")
+    )
+    key = F.struct(*[f"_k{i}" for i in range(len(keys))])
+    found = per_key.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max("_rows"), F.lit(0)).alias("most"),
+        F.max_by(key, "_rows").alias("key"),
+    ).first()
+    if found["most"] > 1:
+        _refuse(keys, [tuple(found["key"])])
+    return is_small(Size(rows=found["rows"], bytes=found["bytes"]))

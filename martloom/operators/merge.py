@@ -17,7 +17,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.operators.dedup import first_per_key, require_unique
+from martloom.operators.dedup import first_per_key, measured_unique, require_unique
 from martloom.operators.sizing import fits_broadcast
 
 _OLD = "_old_"
@@ -175,10 +175,12 @@ def scd1_upsert(
     one row per key; without it, duplicate source keys are an error.
     """
     source = source.select(*spec.keys, *spec.attributes)
-    if order is None:
-        source = require_unique(source, spec.keys)
-    else:
+    if order is not None:
         source = first_per_key(source, spec.keys, order)
+    elif broadcast_source is None:
+        broadcast_source = measured_unique(source, spec.keys)
+    else:
+        source = require_unique(source, spec.keys)
     if broadcast_source is None:
         broadcast_source = fits_broadcast(source)
     pairs = _pair(target, source, spec.keys, broadcast_source)

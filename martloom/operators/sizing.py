@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
@@ -24,8 +24,8 @@ class Size:
     bytes: int
 
 
-def measure(df: DataFrame) -> Size:
-    """Rows and in-memory bytes, by one aggregate over the whole of `df`."""
+def row_width(df: DataFrame) -> Column:
+    """Upper estimate of a row's bytes in memory."""
     widths = [F.lit(SLOT_BYTES * (1 + len(df.columns)))]
     for field in df.schema:
         c = F.col(f"`{field.name}`")
@@ -33,15 +33,25 @@ def measure(df: DataFrame) -> Size:
             widths.append(F.coalesce(F.octet_length(c), F.lit(0)))
         elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
             widths.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) * 4)
-    width = sum(widths[1:], widths[0]).cast("long")
-    row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return sum(widths[1:], widths[0]).cast("long")
+
+
+def measure(df: DataFrame) -> Size:
+    """Rows and in-memory bytes, by one aggregate over the whole of `df`."""
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_width(df)).alias("bytes")).first()
     return Size(rows=row["rows"], bytes=row["bytes"] or 0)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether `df` is measured small enough. What the optimizer thinks huge is not measured."""
+def worth_measuring(df: DataFrame) -> bool:
+    """Whether the optimizer does not think `df` huge."""
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if NOT_WORTH_MEASURING < estimate < UNKNOWN:
-        return False
-    size = measure(df)
+    return not NOT_WORTH_MEASURING < estimate < UNKNOWN
+
+
+def is_small(size: Size) -> bool:
     return size.rows <= BROADCAST_ROWS and size.bytes <= BROADCAST_BYTES
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether `df` is measured small enough. What the optimizer thinks huge is not measured."""
+    return worth_measuring(df) and is_small(measure(df))

@@ -7,11 +7,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from martloom.operators import sizing
 from martloom.operators.dedup import (
     DuplicateKeys,
     duplicate_keys,
     first_per_key,
     latest_per_key,
+    measured_unique,
     require_unique,
 )
 from martloom.operators.merge import Scd1, Scd2, scd1_upsert, scd2_merge
@@ -154,3 +156,32 @@ def test_duplicate_gate(spark):
     assert require_unique(df, ["k", "v"]) is df
     with pytest.raises(DuplicateKeys):
         require_unique(df, ["k"])
+
+
+def test_gate_and_measure_in_one_job(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a", 2), (1, "b", 2), (None, "c", 3)], "k int, `v.w` string, _rows int")
+    assert measured_unique(df, ["k", "v.w"])
+    assert measured_unique(df.limit(0), ["k"])
+    with pytest.raises(DuplicateKeys, match=r"\(1, 2\)"):
+        measured_unique(df, ["k", "_rows"])
+    with pytest.raises(DuplicateKeys, match=r"\(None,\)"):
+        measured_unique(df.where("k IS NULL").unionAll(df.where("k IS NULL")), ["k"])
+
+    def jobs(run):
+        group = f"gate-{id(run)}"
+        spark.sparkContext.setJobGroup(group, "counted")
+        run()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    unique = df.where("k = 1").select("`v.w`", "_rows").withColumnRenamed("v.w", "v")
+    apart = jobs(lambda: (require_unique(unique, ["v"]), sizing.fits_broadcast(unique)))
+    assert jobs(lambda: measured_unique(unique, ["v"])) < apart
+
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 1)
+    assert not measured_unique(unique, ["v"]) and not sizing.fits_broadcast(unique)
+    monkeypatch.setattr(sizing, "NOT_WORTH_MEASURING", -1)
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 10)
+    assert not measured_unique(spark.range(3), ["id"])
+    with pytest.raises(DuplicateKeys, match=r"\(0,\)"):
+        measured_unique(spark.range(4).selectExpr("id DIV 3 AS k"), ["k"])
