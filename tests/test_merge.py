@@ -1,5 +1,6 @@
 """Merges against a model in plain Python, over both plans."""
 
+import uuid
 from datetime import date, timedelta
 
 import pytest
@@ -168,7 +169,7 @@ def test_gate_and_measure_in_one_job(spark, monkeypatch):
         measured_unique(df.where("k IS NULL").unionAll(df.where("k IS NULL")), ["k"])
 
     def jobs(run):
-        group = f"gate-{id(run)}"
+        group = f"gate-{uuid.uuid4().hex}"
         spark.sparkContext.setJobGroup(group, "counted")
         run()
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
