@@ -148,8 +148,7 @@ def _differ(a: str, b: str, max_bits: int):
 
 def _seed_links(points: DataFrame, max_bits: int) -> DataFrame:
     cells = stored(_cells(points.withColumn("root", F.col("fp")), near=False))
-    # Written first, here and below, so that a join's sides are plain shuffles and a dense cell splits.
-    ends = stored(
+    ends = (
         cells.groupBy("cell")
         .agg(F.min("fp").alias("least"), F.max("fp").alias("most"))
         .where("least < most")
@@ -218,7 +217,7 @@ def _aside_links(aside: DataFrame, max_bits: int) -> DataFrame:
     """Links in cells that were put aside. In each cell the points outside of its main component
     meet all points of other components; where there is one component, nothing meets."""
     parts = aside.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = stored(
+    main = (
         parts.groupBy("cell")
         .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
         .where("roots > 1")
