@@ -140,3 +140,21 @@ def test_multiple_current(spark):
     rows = versions((1, 0, None), (1, 2, None), (2, 0, 3), (2, 4, None))
     spec = Scd2(keys=("k",), tracked=("v",))
     assert table(quality.multiple_current(spark.createDataFrame(rows, DIM), spec)) == [(1, 2)]
+
+
+def test_hot_keys_of_a_chain_of_joins_are_counted_before_the_joins(spark, monkeypatch):
+    facts = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (2, 4), (None, 5), (3, 6)], "k int, v int")
+    first = spark.createDataFrame([(1, "x"), (2, "y"), (4, "z")], "k int, a string")
+    second = spark.createDataFrame([(1, "p"), (2, "q"), (3, "r")], "k int, b string")
+    counted = []
+    find = skew.hottest_keys
+    monkeypatch.setattr(skew, "hottest_keys", lambda df, *more: counted.append(df) or find(df, *more))
+    for hot_rows in (1, 2, 100):
+        joined = skew.lookup_join(facts, first, ["k"], broadcast_right=False, hot_rows=hot_rows)
+        joined = skew.lookup_join(
+            joined, second, ["k"], broadcast_right=False, hot_rows=hot_rows, counted_in=facts
+        )
+        rows = sorted(tuple(r) for r in joined.select("k", "v", "a", "b").collect())
+        assert rows == [(1, 1, "x", "p"), (1, 2, "x", "p"), (1, 3, "x", "p"), (2, 4, "y", "q")]
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in counted]
+    assert len(plans) == 6 and not any("Join" in plan for plan in plans)

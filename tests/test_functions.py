@@ -1,11 +1,13 @@
 import hashlib
 import re
+from datetime import date
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from martloom.functions import (
+    WHITESPACE_CLASS,
     business_key,
     hash_identifier,
     is_blank,
@@ -14,6 +16,8 @@ from martloom.functions import (
     standardize_name,
     strip,
 )
+from martloom.operators.mapping import parse_value
+from martloom.sources.contract import ContractColumn
 
 SAMPLES = [
     None, "", " ", "\t", "\tA B\n", " A ", "　x ", "José", "o'Brien-smith 3rd", "straße",
@@ -83,3 +87,41 @@ def test_business_key(spark):
     longer = business_key(F.col("h"), [F.col("n"), F.col("d")], F.lit("NAME_DOB"))
     rows = [tuple(r) for r in df.select(key, longer).collect()]
     assert rows == [("h", "h"), ("N_NAME_DOB", "N_d_NAME_DOB"), (None, None)]
+
+
+def test_white_space_and_names_need_no_regular_expression(spark):
+    """Checked for every value of every landing row, where a class of ranges costs microseconds."""
+    v = F.col("v")
+    rows = spark.createDataFrame([("a",)], "v string").select(is_blank(v), is_blank(v, " "), standardize_name(v))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "rlike" not in plan and "regexp" not in plan
+
+
+def test_names_and_blanks_as_by_regular_expression(spark):
+    v = F.col("v")
+    values = [*SAMPLES, "o\U0001f600'n\u00e9il \U0001d49c 1", "\U0001f600", "\x85\u2003", "!", "~", "\x7f", "\x00", "\u180e", "\ufeff a"]
+    by_class = F.regexp_replace(F.upper(v), f"[^A-Z{WHITESPACE_CLASS}]+", "")
+    blank = ~F.coalesce(v.rlike(f"[^{WHITESPACE_CLASS}]"), F.lit(False))
+    pairs = evaluate(spark, values, standardize_name(v), strip(by_class), is_blank(v), blank)
+    assert all(name == wanted and found == empty for name, wanted, found, empty in pairs)
+
+
+def test_dates_as_by_their_pattern(spark):
+    values = [
+        None, "", " ", "2026-03-31", "2024-02-29", "2023-02-29", "0000-01-01", "0001-01-01", "9999-12-31",
+        "+10000-01-01", "-0001-01-01", "-001-01-01", "2026-3-31", "2026-03-1", " 2026-03-31", "2026-03-31 ",
+        "2026-03-1 ", "2026-03-1T", "2026-03-31T00:00:00", "2026-13-01", "2026-99-99", "soon", "31/12/1970",
+        "\u0662\u0660\u0662\u0666-03-31", "2026-03-31\n", "1582-10-10", "20260331",
+    ]
+    read, wanted = parse_value(ContractColumn("v", "date")), F.try_to_date(F.col("v"), "yyyy-MM-dd")
+    rows = evaluate(spark, values, read.cast("string"), wanted.cast("string"))
+    assert [a for a, _ in rows] == [b for _, b in rows] and sum(a is not None for a, _ in rows) >= 5
+    other = ContractColumn("v", "date", format="DD/MM/YYYY")
+    assert str(evaluate(spark, ["31/12/1970", "1970-12-31"], parse_value(other))) == str(
+        [(date(1970, 12, 31),), (None,)]
+    )
+
+
+def test_a_date_as_written_is_not_left_to_a_formatter(spark):
+    rows = spark.createDataFrame([("2026-03-31",)], "v string").select(parse_value(ContractColumn("v", "date")))
+    assert "octet_length" in rows._jdf.queryExecution().optimizedPlan().toString()
